@@ -192,21 +192,17 @@ def _middle_values(df: DataFrame, sizes: dict, bracket: dict) -> tuple[dict, lis
             missed.append(c)
     if not wanted:
         return {}, missed
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
-                for c in wanted
-            ]
-        )
-    )
-    inside = F.lit(False)
-    target = F.lit(False)
+    cells, target = [], F.lit(False)
     for c, (lo, hi) in wanted.items():
-        here = F.col("col") == c
-        inside |= here & F.col("v").between(F.lit(bracket[c][0]), F.lit(bracket[c][1]))
-        target |= here & (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
-    values = df.select(cells.alias("_cell")).select("_cell.*").filter(inside)
+        v = F.col(c).cast("double")
+        inside = v.between(F.lit(bracket[c][0]), F.lit(bracket[c][1]))
+        cells.append(F.when(inside, F.struct(F.lit(c).alias("col"), v.alias("v"))))
+        target |= (
+            (F.col("col") == c) & (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
+        )
+    # only the cells inside a bracket leave the row
+    values = df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
+    values = values.select("_cell.*")
     # one or two rows per column
     rows = value_counts_below(values, ["col"], "v").filter(target).collect()
     found: dict[str, list] = {}
