@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +24,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="panelweave-")
     context.setCheckpointDir(named)
-    return named
+    return context.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Folder of this application's written tables, in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from the written copy.
+    """Write `df` as a table in the checkpoint folder and continue from it.
 
-    Needed where later steps refer to physical properties of a sorted result
-    (its partition numbers): the copy stays the same when executors are lost.
+    Used where a result is read more than once, and where later steps refer to
+    physical properties of a sorted result (its partition numbers): the written
+    table stays the same when executors are lost. Unlike a cached or
+    checkpointed RDD it has a known size, so joins with it can be broadcast,
+    and its readers only read the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's written tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

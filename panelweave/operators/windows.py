@@ -12,7 +12,9 @@ period never uses the period itself.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -106,26 +108,50 @@ def add_ewm(
     total of the block before. Earlier blocks weigh below e^-40. Every sum is a
     running or per-block aggregate: linear, without collecting lists.
     """
+    placed = _place(df, entity, order, span)
+    return _ewm(placed, entity, columns, span, min_periods, complete).drop(*_PLACE)
+
+
+_PLACE = ("_row", "_block", "_m", "_g")
+
+
+def _place(df: DataFrame, entity: Sequence[str], order: Sequence[str], span: int) -> DataFrame:
+    """Row number, block, row inside the block and growth factor of the block."""
     r = 1.0 - 2.0 / (span + 1.0)
     size = ewm_reach(span)
-    own = Window.partitionBy(*entity)
     placed = df.withColumn("_row", F.row_number().over(series(entity, order)) - 1)
-    placed = placed.withColumns(
+    within = (F.col("_row") % size).cast("double")
+    return placed.withColumns(
         {
             "_block": F.floor(F.col("_row") / size).cast("int"),
-            "_m": (F.col("_row") % size).cast("double"),
+            "_m": within,
+            "_g": F.pow(F.lit(r), -within),
         }
     )
+
+
+def _placed_series(entity: Sequence[str]) -> WindowSpec:
+    """Time order as (block, row): the sort the block sums need anyway."""
+    return Window.partitionBy(*entity).orderBy("_block", "_row")
+
+
+def _ewm(
+    placed: DataFrame,
+    entity: Sequence[str],
+    columns: Mapping[str, str | Column],
+    span: int,
+    min_periods: int,
+    complete: str | Column | None,
+) -> DataFrame:
+    r = 1.0 - 2.0 / (span + 1.0)
+    size = ewm_reach(span)
     inside = (
         Window.partitionBy(*entity, "_block")
         .orderBy("_row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = own.orderBy("_block").rangeBetween(-1, -1)
-    earlier = own.orderBy("_block", "_row").rowsBetween(Window.unboundedPreceding, -1)
-
-    grow = F.pow(F.lit(r), -F.col("_m"))
-    placed = placed.withColumn("_g", grow)
+    before = Window.partitionBy(*entity).orderBy("_block").rangeBetween(-1, -1)
+    earlier = _placed_series(entity).rowsBetween(Window.unboundedPreceding, -1)
 
     def decayed(v: Column) -> Column:
         here = F.coalesce(F.sum(v).over(inside), F.lit(0.0))
@@ -135,28 +161,34 @@ def add_ewm(
     names = list(columns)
     values = {f"_v_{n}": _col(c).cast("double") for n, c in columns.items()}
     placed = placed.withColumns(values)
-    if complete is not None:
-        placed = placed.withColumn("_ok", _col(complete))
-        known = {n: F.col("_ok") for n in names}
-    else:
-        known = {n: F.col(f"_v_{n}").isNotNull() for n in names}
+    shared = complete is not None
+    if shared:
+        placed = placed.withColumn("_ok", F.coalesce(_col(complete), F.lit(False)))
+    known = {n: F.col("_ok") if shared else F.col(f"_v_{n}").isNotNull() for n in names}
 
     sums = {f"_n_{n}": decayed(F.when(known[n], F.col(f"_v_{n}") * F.col("_g"))) for n in names}
-    if complete is not None:
-        sums["_d"] = decayed(F.when(F.col("_ok"), F.col("_g")))
-    else:
-        sums |= {f"_d_{n}": decayed(F.when(known[n], F.col("_g"))) for n in names}
+    weights = {n: "_d" if shared else f"_d_{n}" for n in names}
+    for n, d in weights.items():
+        sums[d] = decayed(F.when(known[n], F.col("_g")))
     placed = placed.withColumns(sums)
 
-    means = {}
-    for n in names:
-        weight = F.col("_d") if complete is not None else F.col(f"_d_{n}")
-        mean = F.when(known[n], F.col(f"_n_{n}") / weight)
-        seen = F.count(F.when(known[n], 1)).over(earlier)
-        means[n] = F.when(seen >= min_periods, F.last(mean, ignorenulls=True).over(earlier))
-    placed = placed.withColumns(means)
-    scratch = ["_row", "_block", "_m", "_g", "_ok", "_d", *values, *sums]
-    return placed.drop(*scratch)
+    def mean(n: str) -> Column:
+        return (F.col(f"_n_{n}") / F.col(weights[n])).alias(n)
+
+    if shared:
+        # one carried struct and one count for all columns
+        carried = {"_all": F.last(F.when(F.col("_ok"), F.struct(*[mean(n) for n in names])), True)}
+        seen = {"_seen": F.count(F.when(F.col("_ok"), 1))}
+        result = {n: (F.col(f"_all.{n}"), F.col("_seen")) for n in names}
+    else:
+        carried = {f"_a_{n}": F.last(F.when(known[n], mean(n)), True) for n in names}
+        seen = {f"_s_{n}": F.count(F.when(known[n], 1)) for n in names}
+        result = {n: (F.col(f"_a_{n}"), F.col(f"_s_{n}")) for n in names}
+    placed = placed.withColumns({n: c.over(earlier) for n, c in {**carried, **seen}.items()})
+    placed = placed.withColumns(
+        {n: F.when(count >= min_periods, value) for n, (value, count) in result.items()}
+    )
+    return placed.drop("_ok", *values, *sums, *carried, *seen)
 
 
 def feature_battery(
@@ -168,29 +200,32 @@ def feature_battery(
     suffix: str,
     active: str | None = None,
     hows: Sequence[str] = ("max", "min"),
-    extra: Mapping[str, Column] | None = None,
+    extra: Mapping[str, Callable[[WindowSpec], Column]] | None = None,
 ) -> DataFrame:
     """`ewm_`, `max_` and `min_` of every column over the previous n rows.
 
     With `active` given, inactive rows are masked first and the columns must be
-    known on active rows. `extra` adds further expressions over the same window
-    (build them with `series(entity, order)`). One shuffle for everything.
+    known on active rows. `extra` maps further names to functions of the window.
+    One shuffle by entity and two sorts for everything; the previous n values
+    are read once per column and shared by min and max.
     """
-    w = series(entity, order)
     shown = {c: masked(c, active) if active else F.col(c) for c in columns}
-    out = add_ewm(
-        df,
-        entity,
-        order,
-        {f"ewm_{c}_{suffix}": v for c, v in shown.items()},
-        span=n,
-        min_periods=n,
-        complete=active,
+    placed = _place(df, entity, order, span=n)
+    out = _ewm(
+        placed, entity, {f"ewm_{c}_{suffix}": v for c, v in shown.items()}, n, n, active
     )
-    frames = {
-        f"{how}_{c}_{suffix}": rolling(v, w, n, how) for c, v in shown.items() for how in hows
-    }
-    return out.withColumns({**frames, **(extra or {})})
+    w = _placed_series(entity)
+    steps = range(1, n + 1)
+    previous = {f"_p{k}_{c}": F.lag(v, k).over(w) for c, v in shown.items() for k in steps}
+    out = out.withColumns({**previous, **{name: f(w) for name, f in (extra or {}).items()}})
+    pick = {"min": F.least, "max": F.greatest}
+    frames = {}
+    for c in columns:
+        cells = [F.col(f"_p{k}_{c}") for k in steps]
+        known = reduce(and_, [cell.isNotNull() for cell in cells])
+        for how in hows:
+            frames[f"{how}_{c}_{suffix}"] = F.when(known, pick[how](*cells))
+    return out.withColumns(frames).drop(*previous, *_PLACE)
 
 
 def sequence_windows(
