@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelweave import functions as fx
 from panelweave.operators import ordering, windows
 from queries import roles
 from queries.registry import query, table
@@ -254,3 +255,40 @@ def battery(ud):
     return windows.feature_battery(
         measured, *roles.USER_DAY, ["x", "n", "mean_value"], 3, "l3", active="active"
     )
+
+
+@query(
+    "flagship",
+    f"""WITH {roles.UD}, masked AS (SELECT * FROM ud), {sql_ewm('x', 3, 'e3')},
+    placed AS (SELECT user_id, day, x, active,
+        {sql_roll_ud('x', 3, 'min')} AS min_x_l3, {sql_roll_ud('x', 3, 'max')} AS max_x_l3,
+        {sql_roll_ud('x', 3, 'sum').replace('sum(x)', 'count(CASE WHEN x > 20 THEN 1 END)')} AS days_over_20_l3,
+        row_number() OVER (PARTITION BY user_id ORDER BY day)
+          - coalesce(max(CASE WHEN NOT active THEN day END)
+              OVER (PARTITION BY user_id ORDER BY day), 0) AS streak FROM ud)
+    SELECT p.user_id, p.day, p.x, cast(p.streak AS BIGINT) AS streak, p.min_x_l3, p.max_x_l3,
+           p.days_over_20_l3, round(e3.value, 6) AS ewm_x_l3
+    FROM placed p JOIN e3 ON e3.user_id = p.user_id AND e3.day = p.day WHERE p.streak > 3""",
+)
+def flagship(spark, folder):
+    """Spine, mask, streak, lagged features and the streak filter in one plan."""
+    rows = windows.add_streak(roles.ud(spark, folder), *roles.USER_DAY, active="active")
+    rows = windows.feature_battery(
+        rows,
+        *roles.USER_DAY,
+        ["x"],
+        3,
+        "l3",
+        active="active",
+        extra={"days_over_20_l3": lambda w: windows.rolling_count_over("x", w, 3, 20)},
+    )
+    return fx.min_streak(rows, "streak", 3).select(
+        "user_id",
+        "day",
+        "x",
+        F.col("streak").cast("bigint").alias("streak"),
+        "min_x_l3",
+        "max_x_l3",
+        "days_over_20_l3",
+        F.round("ewm_x_l3", 6).alias("ewm_x_l3"),
+    )
