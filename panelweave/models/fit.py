@@ -129,7 +129,7 @@ def stop_iteration(losses: Sequence[float], patience: int) -> tuple[int, int]:
 
 def fit_with_patience(
     df: DataFrame,
-    features: Estimator,
+    features: Estimator | None,
     label: str,
     order: Sequence[str | Column],
     holdout: float = 0.2,
@@ -140,15 +140,17 @@ def fit_with_patience(
 
     Returns the model of the best iteration and the table (iteration,
     train_loss, validation_loss) up to the stop. Boosting is sequential and
-    seeded, so the first iterations of a long run are the short run.
+    seeded, so the first iterations of a long run are the short run. Without
+    `features` the rows already have a feature vector.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     split = ordered_split(df, order, 1.0 - holdout, "_in_train")
-    stage = features.fit(split.filter("_in_train"))
+    stages = [features.fit(split.filter("_in_train"))] if features is not None else []
     prepared = (
-        stage.transform(split)
-        .select(label, stage.getOutputCol(), "_in_train")
+        PipelineModel(stages)
+        .transform(split)
+        .select(label, "features", "_in_train")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     train, held = prepared.filter("_in_train"), prepared.filter("NOT _in_train")
@@ -164,4 +166,4 @@ def fit_with_patience(
     history = spark.createDataFrame(
         rows, "iteration int, train_loss double, validation_loss double"
     )
-    return PipelineModel([stage, model]), history
+    return PipelineModel([*stages, model]), history

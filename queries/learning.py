@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import tempfile
-from functools import cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from panelweave import models, sources
+from panelweave.lineage import durable, scratch_folder
 from panelweave.operators import encode, explain, metrics, windows
 from queries import roles, series
 from queries.registry import query
@@ -367,7 +366,8 @@ def training_rows(spark, folder):
     kinds = roles.first_kind(spark, folder)
     ud = roles.ud(spark, folder)
     rows = windows.add_streak(series.battery(ud), *roles.USER_DAY, active="active")
-    return (
+    # every fit reads these rows several times: computed and written once
+    return durable(
         rows.filter("active")
         .join(kinds, ["user_id", "day"])
         .select(
@@ -454,13 +454,9 @@ def model_roundtrip(spark, folder):
     return scored(rows, sources.load_model(base, "individual_lr"))
 
 
-@cache
 def models_folder(spark) -> str:
-    """Folder for models, next to the checkpoints that all executors share."""
-    from panelweave.lineage import ensure_checkpoint_dir
-
-    base = ensure_checkpoint_dir(spark)
-    return f"{base}/models" if not base.startswith("/tmp") else tempfile.mkdtemp(prefix="panelweave-models-")
+    """Folder for models, next to the written tables that all executors share."""
+    return f"{scratch_folder(spark)}/models"
 
 
 SEQUENCE = ["ewm_x_l3", "max_x_l3", "min_x_l3", "streak"]
