@@ -5,6 +5,7 @@ from panelweave.models.fit import (
     fit_with_patience,
     linear_model,
     search,
+    search_families,
     tree_model,
 )
 from panelweave.models.score import batch_score, flatten_sequences, score_sequences
@@ -20,5 +21,6 @@ __all__ = [
     "linear_model",
     "score_sequences",
     "search",
+    "search_families",
     "tree_model",
 ]

@@ -62,7 +62,7 @@ def expand_grid(grid: Mapping[str, Sequence]) -> list[dict]:
 class Fitted:
     """Result of a search: `scores` holds (params, mean R2, R2 per fold)."""
 
-    model: PipelineModel
+    model: PipelineModel | None
     params: dict
     score: float
     scores: list[tuple[dict, float, list[float]]] = field(default_factory=list)
@@ -78,13 +78,37 @@ def search(
     n_splits: int = 3,
     parallelism: int = 4,
 ) -> Fitted:
-    """Best setting by mean R2 over expanding time folds, refitted on all rows.
+    """Best setting by mean R2 over expanding time folds, refitted on all rows."""
+    families = {"model": (build, grid)}
+    return search_families(df, features, families, label, order, n_splits, parallelism)["model"]
 
-    The preprocessing does not depend on the searched settings: it is fitted
-    once per fold on the fold's training rows, and the prepared rows are kept
-    while all settings are fitted on them. The first of equal scores wins.
+
+def search_families(
+    df: DataFrame,
+    features: Estimator,
+    families: Mapping[str, tuple[Callable[..., Estimator], Sequence[dict]]],
+    label: str,
+    order: Sequence[str | Column],
+    n_splits: int = 3,
+    parallelism: int = 4,
+) -> dict[str, Fitted]:
+    """`search` for several kinds of models over the same folds.
+
+    The preprocessing depends neither on the kind nor on the searched settings:
+    it is fitted once per fold on the fold's training rows, and the prepared
+    rows are kept while all settings are fitted on them. Within a kind the first
+    of equal scores wins.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    tasks = [
+        (name, build, params) for name, (build, grid) in families.items() for params in grid
+    ]
+
+    def on_pool(fn: Callable, items: Sequence) -> list:
+        with ThreadPool(min(parallelism, len(items))) as pool:
+            return pool.map(inheritable_thread_target(spark)(fn), items)
+
     folded = time_folds(df, order, n_splits, "_fold")
     per_fold: list[list[float]] = []
     for k in range(1, n_splits + 1):
@@ -97,22 +121,39 @@ def search(
         )
         train, test = prepared.filter(F.col("_fold") < k), prepared.filter(F.col("_fold") == k)
 
-        def score(params: dict, train=train, test=test) -> float:
+        def score(task: tuple, train=train, test=test) -> float:
+            _, build, params = task
             scored = build(label, **params).fit(train).transform(test)
             return scored.agg(r2_column(label, "prediction").alias("r2")).first()["r2"]
 
-        with ThreadPool(min(parallelism, len(grid))) as pool:
-            task = inheritable_thread_target(df.sparkSession)(score)
-            per_fold.append(pool.map(task, list(grid)))
+        per_fold.append(on_pool(score, tasks))
         prepared.unpersist()
-    scores = []
-    for i, params in enumerate(grid):
+
+    best: dict[str, Fitted] = {}
+    for i, (name, _, params) in enumerate(tasks):
         values = [fold[i] for fold in per_fold]
-        scores.append((params, sum(values) / n_splits, values))
-    best, best_score, _ = max(scores, key=lambda s: s[1])
+        mean = sum(values) / n_splits
+        if name not in best:
+            best[name] = Fitted(None, params, mean)
+        best[name].scores.append((params, mean, values))
+        if mean > best[name].score:
+            best[name].params, best[name].score = params, mean
+
     stage = features.fit(df)
-    model = build(label, **best).fit(stage.transform(df))
-    return Fitted(PipelineModel([stage, model]), best, best_score, scores)
+    prepared = (
+        stage.transform(df)
+        .select(label, stage.getOutputCol())
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+    def refit(name: str) -> PipelineModel:
+        model = families[name][0](label, **best[name].params).fit(prepared)
+        return PipelineModel([stage, model])
+
+    for name, model in zip(families, on_pool(refit, list(families))):
+        best[name].model = model
+    prepared.unpersist()
+    return best
 
 
 def stop_iteration(losses: Sequence[float], patience: int) -> tuple[int, int]:

@@ -136,15 +136,21 @@ def _lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
+# up to this many values a plain window per column is cheaper than a range sort
+FEW_VALUES = 1_000_000
+_EVERYTHING = (float("-inf"), float("inf"))
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -> dict:
     """Exact median of each column (mean of the two middle values), missing skipped.
 
     1. one pass: row counts and an approximate bracket around the middle;
-    2. one pass: rows below the bracket, and counts of the values inside it;
-    3. the middle values are read off the ordered counts.
+    2. one pass: rows below the bracket and inside it;
+    3. the middle values are read off the ordered counts of the values inside.
 
     Only the values inside the brackets are shuffled. A bracket that misses the
     middle (approximation error) is opened fully, so the result stays exact.
+    Small inputs skip step 2 and use open brackets.
     """
     first = df.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
@@ -155,43 +161,46 @@ def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -
             for i, c in enumerate(columns)
         ],
     ).first()
-    sizes = {c: first[f"n_{i}"] for i, c in enumerate(columns)}
+    sizes = {c: first[f"n_{i}"] for i, c in enumerate(columns) if first[f"n_{i}"]}
     medians: dict[str, float | None] = {c: None for c in columns}
-    bracket = {c: first[f"q_{i}"] for i, c in enumerate(columns) if sizes[c]}
-    found, missed = _middle_values(df, sizes, bracket)
-    medians.update(found)
-    if missed:
-        everything = [float("-inf"), float("inf")]
-        found, missed = _middle_values(df, sizes, {c: everything for c in missed})
-        medians.update(found)
-    if missed:
-        raise ValueError(f"NaN in columns {missed}: turn NaN into NULL first")
+    if sum(sizes.values()) <= FEW_VALUES:
+        todo = {c: (_EVERYTHING, 0, n) for c, n in sizes.items()}
+    else:
+        brackets = {c: tuple(first[f"q_{i}"]) for i, c in enumerate(columns) if c in sizes}
+        todo = {
+            c: (brackets[c], below, inside)
+            if below <= (sizes[c] - 1) // 2 and sizes[c] // 2 < below + inside
+            else (_EVERYTHING, 0, sizes[c])
+            for c, (below, inside) in _count_inside(df, brackets).items()
+        }
+    medians.update(_middle_values(df, sizes, todo))
     return medians
 
 
-def _middle_values(df: DataFrame, sizes: dict, bracket: dict) -> tuple[dict, list]:
-    names = list(bracket)
-    if not names:
-        return {}, []
-    below = df.agg(
+def _count_inside(df: DataFrame, brackets: dict) -> dict[str, tuple[int, int]]:
+    """Rows below each bracket, and rows inside it."""
+    row = df.agg(
         *[
-            F.count(F.when(F.col(c).cast("double") < bracket[c][0], 1)).alias(f"b_{i}")
-            for i, c in enumerate(names)
+            F.count(F.when(F.col(c).cast("double") < lo, 1)).alias(f"b_{i}")
+            for i, (c, (lo, _)) in enumerate(brackets.items())
         ],
         *[
-            F.count(F.when(F.col(c).cast("double") <= bracket[c][1], 1)).alias(f"u_{i}")
-            for i, c in enumerate(names)
+            F.count(F.when(F.col(c).cast("double").between(lo, hi), 1)).alias(f"i_{i}")
+            for i, (c, (lo, hi)) in enumerate(brackets.items())
         ],
     ).first()
-    wanted, missed = {}, []
-    for i, c in enumerate(names):
-        lo, hi = (sizes[c] - 1) // 2, sizes[c] // 2
-        if below[f"b_{i}"] <= lo and hi < below[f"u_{i}"]:
-            wanted[c] = (lo - below[f"b_{i}"], hi - below[f"b_{i}"])
-        else:
-            missed.append(c)
-    if not wanted:
-        return {}, missed
+    return {c: (row[f"b_{i}"], row[f"i_{i}"]) for i, c in enumerate(brackets)}
+
+
+def _middle_values(df: DataFrame, sizes: dict, todo: dict) -> dict[str, float]:
+    """Medians from `column -> (bracket, rows below it, rows inside it)`."""
+    if not todo:
+        return {}
+    wanted = {
+        c: ((sizes[c] - 1) // 2 - below, sizes[c] // 2 - below)
+        for c, (_, below, _) in todo.items()
+    }
+    bracket = {c: b for c, (b, _, _) in todo.items()}
     cells, target = [], F.lit(False)
     for c, (lo, hi) in wanted.items():
         v = F.col(c).cast("double")
@@ -203,9 +212,16 @@ def _middle_values(df: DataFrame, sizes: dict, bracket: dict) -> tuple[dict, lis
     # only the cells inside a bracket leave the row
     values = df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
     values = values.select("_cell.*")
+    if sum(inside for _, _, inside in todo.values()) <= FEW_VALUES:
+        running = (
+            Window.partitionBy("col").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        counts = values.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
+        placed = counts.withColumn("below", F.coalesce(F.sum("n").over(running), F.lit(0)))
+    else:
+        placed = value_counts_below(values, ["col"], "v")
     # one or two rows per column
-    rows = value_counts_below(values, ["col"], "v").filter(target).collect()
     found: dict[str, list] = {}
-    for row in rows:
+    for row in placed.filter(target).collect():
         found.setdefault(row["col"], []).append(row["v"])
-    return {c: (min(vs) + max(vs)) / 2.0 for c, vs in found.items()}, missed
+    return {c: (min(vs) + max(vs)) / 2.0 for c, vs in found.items()}
