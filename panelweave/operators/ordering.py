@@ -150,8 +150,24 @@ def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -
 
     Only the values inside the brackets are shuffled. A bracket that misses the
     middle (approximation error) is opened fully, so the result stays exact.
-    Small inputs skip step 2 and use open brackets.
+    Small inputs are ordered directly.
     """
+    medians: dict[str, float | None] = {c: None for c in columns}
+    if df.count() * len(columns) <= FEW_VALUES:
+        everything = {c: (_EVERYTHING, 0) for c in columns}
+        counts = _cells(df, everything).groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
+        whole = Window.partitionBy("col")
+        running = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumns(
+            {
+                "below": F.coalesce(F.sum("n").over(running), F.lit(0)),
+                "size": F.sum("n").over(whole),
+            }
+        )
+        lo, hi = F.floor((F.col("size") - 1) / 2), F.floor(F.col("size") / 2)
+        target = (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
+        return medians | _mean_of_ends(placed.filter(target))
+
     first = df.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[
@@ -162,19 +178,41 @@ def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -
         ],
     ).first()
     sizes = {c: first[f"n_{i}"] for i, c in enumerate(columns) if first[f"n_{i}"]}
-    medians: dict[str, float | None] = {c: None for c in columns}
-    if sum(sizes.values()) <= FEW_VALUES:
-        todo = {c: (_EVERYTHING, 0, n) for c, n in sizes.items()}
-    else:
-        brackets = {c: tuple(first[f"q_{i}"]) for i, c in enumerate(columns) if c in sizes}
-        todo = {
-            c: (brackets[c], below, inside)
-            if below <= (sizes[c] - 1) // 2 and sizes[c] // 2 < below + inside
-            else (_EVERYTHING, 0, sizes[c])
-            for c, (below, inside) in _count_inside(df, brackets).items()
-        }
-    medians.update(_middle_values(df, sizes, todo))
-    return medians
+    if not sizes:
+        return medians
+    brackets = {c: tuple(first[f"q_{i}"]) for i, c in enumerate(columns) if c in sizes}
+    chosen = {
+        c: (brackets[c], below)
+        if below <= (sizes[c] - 1) // 2 and sizes[c] // 2 < below + inside
+        else (_EVERYTHING, 0)
+        for c, (below, inside) in _count_inside(df, brackets).items()
+    }
+    target = F.lit(False)
+    for c, (_, before) in chosen.items():
+        lo, hi = (sizes[c] - 1) // 2 - before, sizes[c] // 2 - before
+        target |= (
+            (F.col("col") == c) & (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
+        )
+    placed = value_counts_below(_cells(df, chosen), ["col"], "v")
+    return medians | _mean_of_ends(placed.filter(target))
+
+
+def _cells(df: DataFrame, chosen: dict) -> DataFrame:
+    """Long table (col, v) of the known values inside each column's bracket."""
+    cells = []
+    for c, ((lo, hi), _) in chosen.items():
+        v = F.col(c).cast("double")
+        cells.append(F.when(v.between(F.lit(lo), F.lit(hi)), F.struct(F.lit(c).alias("col"), v.alias("v"))))
+    # only the cells inside a bracket leave the row
+    return df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select("_cell.*")
+
+
+def _mean_of_ends(middle: DataFrame) -> dict[str, float]:
+    """Mean of the smallest and largest row per column: one or two rows each."""
+    found: dict[str, list] = {}
+    for row in middle.collect():
+        found.setdefault(row["col"], []).append(row["v"])
+    return {c: (min(vs) + max(vs)) / 2.0 for c, vs in found.items()}
 
 
 def _count_inside(df: DataFrame, brackets: dict) -> dict[str, tuple[int, int]]:
@@ -190,38 +228,3 @@ def _count_inside(df: DataFrame, brackets: dict) -> dict[str, tuple[int, int]]:
         ],
     ).first()
     return {c: (row[f"b_{i}"], row[f"i_{i}"]) for i, c in enumerate(brackets)}
-
-
-def _middle_values(df: DataFrame, sizes: dict, todo: dict) -> dict[str, float]:
-    """Medians from `column -> (bracket, rows below it, rows inside it)`."""
-    if not todo:
-        return {}
-    wanted = {
-        c: ((sizes[c] - 1) // 2 - below, sizes[c] // 2 - below)
-        for c, (_, below, _) in todo.items()
-    }
-    bracket = {c: b for c, (b, _, _) in todo.items()}
-    cells, target = [], F.lit(False)
-    for c, (lo, hi) in wanted.items():
-        v = F.col(c).cast("double")
-        inside = v.between(F.lit(bracket[c][0]), F.lit(bracket[c][1]))
-        cells.append(F.when(inside, F.struct(F.lit(c).alias("col"), v.alias("v"))))
-        target |= (
-            (F.col("col") == c) & (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
-        )
-    # only the cells inside a bracket leave the row
-    values = df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
-    values = values.select("_cell.*")
-    if sum(inside for _, _, inside in todo.values()) <= FEW_VALUES:
-        running = (
-            Window.partitionBy("col").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        )
-        counts = values.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
-        placed = counts.withColumn("below", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    else:
-        placed = value_counts_below(values, ["col"], "v")
-    # one or two rows per column
-    found: dict[str, list] = {}
-    for row in placed.filter(target).collect():
-        found.setdefault(row["col"], []).append(row["v"])
-    return {c: (min(vs) + max(vs)) / 2.0 for c, vs in found.items()}
