@@ -26,6 +26,7 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 UNDETERMINED = "und"
 _BITS = 21  # bits of a code point
 _ROWS = 16_384  # n-gram vectors a task keeps at most
+_SLICE = 4096  # n-gram vectors multiplied at once
 _BATCH = 64  # texts multiplied at once
 
 
@@ -88,14 +89,15 @@ class Codebook:
         if not filled:
             return out
         every = np.unique(np.concatenate([grams[i][0] for i in filled]))
-        for begin in range(0, len(every), _ROWS):
-            part = every[begin : begin + _ROWS]
+        for begin in range(0, len(every), _SLICE):
+            part = every[begin : begin + _SLICE]
             counts = np.zeros((len(grams), len(part)), np.float32)
             for i in filled:
                 codes, n = grams[i]
                 lo, hi = np.searchsorted(codes, [part[0], part[-1] + 1])
                 counts[i, np.searchsorted(part, codes[lo:hi])] = n[lo:hi]
-            out += counts @ self.matrix[self.rows(part)]
+            at = self.rows(part)
+            out += counts @ self.matrix[at]
         return out
 
 
