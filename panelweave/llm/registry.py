@@ -31,3 +31,19 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.language_id import identify_language
 
     return identify_language(_table(spark, folder, "documents"))
+
+
+@_query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from panelweave.llm.packing import pack
+
+    return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op7_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.multiset_hash import edit_report
+
+    return edit_report(_table(spark, folder, "documents"))
