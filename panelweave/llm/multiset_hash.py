@@ -102,19 +102,29 @@ def _signed(f: Column) -> Column:
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: share of common sentences estimated from two fingerprints; 1 only for equal ones.
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
-    Texts without sentences are like nothing but themselves. Above 2**14
-    sentences the narrow lanes wrap: the estimate then falls to chance, while
-    equality still holds.
+
+def with_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add columns with the likeness of two fingerprint columns: name -> (first, second).
+
+    0 to 1: share of common sentences estimated from two fingerprints; 1 only for
+    equal ones. Texts without sentences are like nothing but themselves. Above
+    2**14 sentences the narrow lanes wrap: the estimate then falls to chance,
+    while equality still holds. Each vector is centred once for all its pairs.
     """
-    dot = lambda x, y: F.aggregate(
-        F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v
-    )
-    norm = F.sqrt(dot(_signed(a), _signed(a)) * dot(_signed(b), _signed(b)))
-    cosine = F.when(norm > 0, dot(_signed(a), _signed(b)) / norm).otherwise(F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.999999), cosine)))
+    used = sorted({c for pair in pairs.values() for c in pair})
+    df = df.withColumns({f"_s_{c}": _signed(F.col(c)) for c in used})
+    df = df.withColumns({f"_n_{c}": _dot(F.col(f"_s_{c}"), F.col(f"_s_{c}")) for c in used})
+    out = {}
+    for name, (a, b) in pairs.items():
+        norm = F.sqrt(F.col(f"_n_{a}") * F.col(f"_n_{b}"))
+        cosine = F.when(norm > 0, _dot(F.col(f"_s_{a}"), F.col(f"_s_{b}")) / norm).otherwise(F.lit(0.0))
+        out[name] = F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(
+            F.greatest(F.lit(0.0), F.least(F.lit(0.999999), cosine))
+        )
+    return df.withColumns(out).drop(*[f"_{k}_{c}" for k in "sn" for c in used])
 
 
 def as_text(f: Column) -> Column:
@@ -162,7 +172,7 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.head"), F.lit(1), half)
     )
-    return (
+    prints = (
         rows.join(heads, "k")
         .select("k", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), F.col("next.x").alias("x"))
         .select(
@@ -170,10 +180,8 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             F.sha2("edited", 256).alias("edited_sha256"),
             fingerprint(F.col("text")).alias("f"), fingerprint(F.col("edited")).alias("e"), "x",
         )
-        .select(
-            "doc_id", "n_chars", "edited_sha256", as_text(F.col("f")).alias("fingerprint"),
-            as_text(F.col("e")).alias("edited_fingerprint"),
-            likeness(F.col("f"), F.col("e")).alias("near_edited"),
-            likeness(F.col("f"), F.col("x")).alias("near_next"),
-        )
+    )
+    return with_likeness(prints, {"near_edited": ("f", "e"), "near_next": ("f", "x")}).select(
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("f")).alias("fingerprint"),
+        as_text(F.col("e")).alias("edited_fingerprint"), "near_edited", "near_next",
     )
