@@ -47,3 +47,10 @@ def op7_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.multiset_hash import edit_report
 
     return edit_report(_table(spark, folder, "documents"))
+
+
+@_query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.quality import classify_quality
+
+    return classify_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
