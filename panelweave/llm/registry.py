@@ -54,3 +54,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.quality import classify_quality
 
     return classify_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.personal_data import find_personal_data
+
+    return find_personal_data(_table(spark, folder, "documents"))
