@@ -6,8 +6,9 @@ digits are the same or similar, however distant, share a skip potential, so that
 an entity has the same label wherever a document repeats it. Spans of the fixed
 patterns are observed labels; loopy sum-product message passing gives the
 marginals of the others. A confident run of nodes becomes a further span if skip
-edges link one of its nodes to an observed entity of the same kind, so documents
-without personal data are left alone.
+edges link one of its nodes to an observed entity of the same kind, or if the run
+alone meets its kind's pattern (which had missed it among its neighbours), so
+that documents without personal data are left alone.
 
 The potentials are learned piecewise from the labels the patterns give: counts of
 (feature, label), of neighbouring labels and of labels joined by a skip edge, all
@@ -242,7 +243,7 @@ def _trim(text: str, begin: int, end: int) -> tuple[int, int]:
 
 
 def added_spans(graph: Graph, share: np.ndarray, texts: list[str], base: list[list[Span]], least: float) -> list[list[Span]]:
-    """Supported runs of neighbouring unobserved nodes of one confident kind, clear of base spans."""
+    """Linked or matching runs of neighbouring unobserved nodes of one confident kind, clear of base spans."""
     found: list[list[Span]] = [[] for _ in texts]
     joined = {j for _, j in graph.chain}
     best = share.argmax(axis=1) if len(share) else []
@@ -250,10 +251,11 @@ def added_spans(graph: Graph, share: np.ndarray, texts: list[str], base: list[li
     run: tuple[int, int, int, int, bool] | None = None  # document, start, end, label, supported
 
     def close() -> None:
-        if run and run[4]:
-            doc, begin, end, label, _ = run
+        if run:
+            doc, begin, end, label, linked = run
             begin, end = _trim(texts[doc], begin, end)
-            if begin < end and not any(a < end and b > begin for a, _, b in base[doc]):
+            linked = linked or (0, label, end - begin) in base_spans(texts[doc][begin:end])
+            if linked and begin < end and not any(a < end and b > begin for a, _, b in base[doc]):
                 found[doc].append((begin, label, end))
 
     for i, (doc, begin, end) in enumerate(graph.place):
