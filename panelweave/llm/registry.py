@@ -61,3 +61,10 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.personal_data import find_personal_data
 
     return find_personal_data(_table(spark, folder, "documents"))
+
+
+@_query
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(_table(spark, folder, "documents")).drop("text_hash")
