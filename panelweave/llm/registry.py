@@ -39,7 +39,8 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
     from panelweave.llm.packing import pack
 
-    return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path
+    return pack(_table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 
 
 @_query
