@@ -17,7 +17,6 @@ import base64
 import os
 import re
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -85,16 +84,17 @@ class StreamEncoder:
             chunks.append(own)
             missing.update(dict.fromkeys(c for c in own if c not in known))
         new = self._new(list(missing))
-        if len(known) < _CACHED:
-            known.update(new)
-            new = known
-        else:
-            new = ChainMap(new, known) if new else known
+        full = len(known) >= _CACHED
+        known.update(new)
         rest = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        return [
-            np.array(next(rest).ids, "<u4").tobytes() if own is None else b"".join(map(new.__getitem__, own))
+        coded = [
+            np.array(next(rest).ids, "<u4").tobytes() if own is None else b"".join(map(known.__getitem__, own))
             for own in chunks
         ]
+        if full:
+            for c in new:
+                del known[c]
+        return coded
 
 
 @lru_cache(maxsize=1)

@@ -69,3 +69,12 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.near_duplicates import near_duplicates
 
     return near_duplicates(_table(spark, folder, "documents")).drop("text_hash")
+
+
+@_query
+def op4_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from panelweave.llm.piece_codec import round_trip
+
+    return round_trip(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
