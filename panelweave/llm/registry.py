@@ -78,3 +78,10 @@ def op4_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.piece_codec import round_trip
 
     return round_trip(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op1_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.pitman_yor import score_texts
+
+    return score_texts(_table(spark, folder, "documents"))
