@@ -227,14 +227,27 @@ def _saddle(d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     The numbers of t tables are coefficients of ((1 - (1-x)**d) / d)**t / t!.
     """
-    y = np.exp(np.linspace(np.log(1e-14), np.log(1 - 1e-6), 6000))[::-1]  # 1 - x, from x near 0
+    y = np.exp(np.linspace(np.log(1e-290), np.log(1 - 1e-6), 40_000))[::-1]  # 1 - x, from x near 0
     x, f = 1 - y, -np.expm1(d * np.log(y))
     r = x * d * y ** (d - 1) / f
     slope = r * (1 + x * (1 - d) / y - r)  # x dr/dx
-    return np.log(r), np.log(f) - r * np.log(x), slope
+    return np.log(r), np.log(f) - r * np.log1p(-y), slope
+
+
+@lru_cache(maxsize=8)
+def _correction(d: float) -> np.ndarray:
+    """What the saddle-point form lacks for few tables, taken from the exact numbers' last row."""
+    t = np.arange(1, EXACT // 2 + 1, dtype=float)
+    lacks = _stirling(d)[EXACT, 1 : len(t) + 1] - _plain_form(np.full(len(t), float(EXACT)), t, d)
+    return lacks - lacks[-1]
 
 
 def _log_stirling(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    lacks = _correction(d)
+    return _plain_form(c, t, d) + np.interp(t, np.arange(1, len(lacks) + 1), lacks)
+
+
+def _plain_form(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
     """Saddle-point form, less the terms that do not depend on t."""
     log_r, exponent, variance = _saddle(d)
     at = np.log(c / t)
