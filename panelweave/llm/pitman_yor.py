@@ -35,11 +35,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.lineage import durable
+from panelweave.llm.packed import dump, load
 from panelweave.llm.texts import keyed_text, py_remainder
 
 CONTEXTS = 4096
@@ -50,27 +50,6 @@ _BLOCK_CHARS = 4_000_000
 _PART_CHARS = 36_000_000
 
 
-def dump(*arrays: np.ndarray) -> bytes:
-    """Columns as one compressed value; bytes of the same weight stand together."""
-    out = []
-    for a in arrays:
-        raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-        data = zstandard.compress(raw, 1)
-        out.append(struct.pack("<8sQQ", a.dtype.str.encode(), len(a), len(data)) + data)
-    return b"".join(out)
-
-
-def load(value: bytes) -> list[np.ndarray]:
-    out, at = [], 0
-    while at < len(value):
-        kind, n, size = struct.unpack_from("<8sQQ", value, at)
-        dtype = np.dtype(kind.rstrip(b"\0").decode())
-        raw = zstandard.decompress(value[at + 24 : at + 24 + size], max_output_size=max(1, n * dtype.itemsize)) if n else b""
-        out.append(np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n).T.copy().view(dtype).reshape(n))
-        at += 24 + size
-    return out
-
-
 def words_of(text: str) -> list[bytes]:
     """Words cut at blanks and \\x09-\\x0D, A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split()
@@ -227,7 +206,7 @@ def _saddle(d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     The numbers of t tables are coefficients of ((1 - (1-x)**d) / d)**t / t!.
     """
-    y = np.exp(np.linspace(np.log(1e-290), np.log(1 - 1e-6), 40_000))[::-1]  # 1 - x, from x near 0
+    y = np.exp(np.linspace(np.log(1e-150), np.log(1 - 1e-6), 40_000))[::-1]  # 1 - x, from x near 0
     x, f = 1 - y, -np.expm1(d * np.log(y))
     r = x * d * y ** (d - 1) / f
     slope = r * (1 + x * (1 - d) / y - r)  # x dr/dx

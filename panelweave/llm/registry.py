@@ -85,3 +85,11 @@ def op1_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.pitman_yor import score_texts
 
     return score_texts(_table(spark, folder, "documents"))
+
+
+@_query
+def op3_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.ranked_search import search
+
+    docs = _table(spark, folder, "documents")
+    return search(docs, docs.filter("doc_id % 100 = 0"))
