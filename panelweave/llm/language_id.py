@@ -14,13 +14,16 @@ language and task is shuffled, whatever the size of the corpus.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.texts import keyed_text, py_remainder, remainder
+from panelweave.llm.texts import keyed_text, map_documents, py_remainder, remainder
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 UNDETERMINED = "und"
@@ -111,7 +114,7 @@ def fit_prototypes(
     )
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        book = Codebook(dim, seed)
+        book = _codebook(dim, seed)
         total: dict[str, np.ndarray] = {}
 
         def flush(weights: dict[str, dict[int, float]]) -> None:
@@ -148,6 +151,35 @@ def fit_prototypes(
     return dict(sorted(found.items()))
 
 
+def _named(prototypes: dict[str, np.ndarray], dim: int) -> tuple[list[str], np.ndarray]:
+    return list(prototypes), np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), dim)
+
+
+@lru_cache(maxsize=1)
+def _codebook(dim: int, seed: int) -> Codebook:
+    """One for each Python worker, whatever the number of its tasks."""
+    return Codebook(dim, seed)
+
+
+def _predict(
+    book: Codebook, names: list[str], table: np.ndarray, texts: list[str], sharpness: float
+) -> tuple[list[str], list[float]]:
+    if not names:
+        return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    predicted, scores = [], []
+    for begin in range(0, len(texts), _BATCH):
+        vectors = book.bundle([book.trigrams(t) for t in texts[begin : begin + _BATCH]])
+        norms = np.linalg.norm(vectors, axis=1)
+        known = norms > 0
+        cosines = (vectors @ table.T) / np.where(known, norms, 1)[:, None]
+        best = cosines.argmax(axis=1)
+        odds = np.exp(sharpness * (cosines - cosines.max(axis=1, keepdims=True)))
+        share = odds.max(axis=1) / odds.sum(axis=1)
+        predicted += [names[b] if k else UNDETERMINED for b, k in zip(best, known)]
+        scores += [float(s) if k else 0.0 for s, k in zip(share, known)]
+    return predicted, scores
+
+
 def predict_language(
     docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = 1024, seed: int = 17,
     modulus: int = 4, held: int = 2, sharpness: float = 20.0, key: str = "doc_id", text: str = "text",
@@ -159,30 +191,13 @@ def predict_language(
     nothing was learned get `und` and 0. Ties go to the first name. Repeated rows
     give repeated results; further columns of the input are not read.
     """
-    names = list(prototypes)
-    table = np.array([prototypes[n] for n in names], np.float32).reshape(len(names), dim)
+    names, table = _named(prototypes, dim)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        book = Codebook(dim, seed)
+        book = _codebook(dim, seed)
         for batch in batches:
             keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            texts = batch["text"].tolist()
-            predicted, scores = [], []
-            for begin in range(0, len(texts), _BATCH):
-                grams = [book.trigrams(t) for t in texts[begin : begin + _BATCH]]
-                vectors = book.bundle(grams)
-                norms = np.linalg.norm(vectors, axis=1)
-                known = (norms > 0) & bool(names)
-                if not names:
-                    predicted += [UNDETERMINED] * len(grams)
-                    scores += [0.0] * len(grams)
-                    continue
-                cosines = (vectors @ table.T) / np.where(known, norms, 1)[:, None]
-                best = cosines.argmax(axis=1)
-                odds = np.exp(sharpness * (cosines - cosines.max(axis=1, keepdims=True)))
-                share = odds.max(axis=1) / odds.sum(axis=1)
-                predicted += [names[b] if k else UNDETERMINED for b, k in zip(best, known)]
-                scores += [float(s) if k else 0.0 for s, k in zip(share, known)]
+            predicted, scores = _predict(book, names, table, batch["text"].tolist(), sharpness)
             yield pd.DataFrame(
                 {
                     "doc_id": pd.array(keys, dtype="Int64"),
@@ -197,3 +212,20 @@ def predict_language(
 def identify_language(docs: DataFrame, dim: int = 1024, seed: int = 17) -> DataFrame:
     """Learn the prototypes from `docs` and predict all its rows."""
     return predict_language(docs, fit_prototypes(docs, dim, seed), dim, seed)
+
+
+def keep_known(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = 1024, seed: int = 17, sharpness: float = 20.0
+) -> DataFrame:
+    """The rows of the documents table whose language is known; a missing `lang` is filled. Rows stay where they are."""
+    names, table = _named(prototypes, dim)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        predicted, _ = _predict(_codebook(dim, seed), names, table, texts, sharpness)
+        found = pa.array([None if x == UNDETERMINED else x for x in predicted], batch.schema.field("lang").type)
+        columns = {n: batch.column(n) for n in batch.schema.names}
+        columns["lang"] = pc.coalesce(columns["lang"], found)
+        return pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema).filter(found.is_valid())
+
+    return map_documents(docs, work)

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.texts import keyed_text
+from panelweave.llm.texts import keyed_text, map_documents
 
 KINDS = ("email", "ip", "card", "phone")
 SCHEMA = (
@@ -355,13 +356,13 @@ def mask_personal_data(docs: DataFrame, p: Potentials | None = None, least: floa
     """The documents table with all spans replaced in `text`; `n_chars` follows. A missing text stays missing."""
     p = p or learn_potentials(docs)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            base, more = find_in_batch(texts, p, least)
-            clean = [None if o is None else mask(t, a + b) for o, t, a, b in zip(batch["text"], texts, base, more)]
-            yield batch.assign(text=clean)
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        whole = ["" if t is None else t for t in texts]
+        base, more = find_in_batch(whole, p, least)
+        clean = [None if o is None else mask(t, a + b) for o, t, a, b in zip(texts, whole, base, more)]
+        columns = {n: batch.column(n) for n in batch.schema.names} | {"text": pa.array(clean, batch.schema.field("text").type)}
+        return pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
 
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    masked = docs.select(*columns).mapInPandas(work, docs.select(*columns).schema)
+    masked = map_documents(docs, work)
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars").cast("long")))

@@ -9,13 +9,15 @@ unit scores the weighted passage vector. Only document labels are learned from.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.texts import keyed_text, py_remainder, remainder
+from panelweave.llm.texts import keyed_text, map_documents, py_remainder, remainder
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 PASSAGE = 96  # words of a passage
@@ -81,6 +83,11 @@ class PassageEncoder:
         return np.array(rows, np.float32)
 
 
+@lru_cache(maxsize=1)
+def _encoder() -> PassageEncoder:
+    return PassageEncoder()
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -208,3 +215,16 @@ def score_quality(
 def classify_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000) -> DataFrame:
     """Learn from the labelled rows and score all rows of `docs`."""
     return score_quality(docs, fit_quality(docs, labels, sample_docs))
+
+
+def keep_good(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of the documents table that are not rejected, unchanged. Rows stay where they are."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encoder, texts = _encoder(), [t or "" for t in batch.column("text").to_pylist()]
+        scores = [
+            model.score([encoder.encode(t) for t in texts[i : i + 256]]) for i in range(0, len(texts), 256)
+        ]
+        return batch.filter(pa.array(np.concatenate([[], *scores]) >= threshold))
+
+    return map_documents(docs, work)

@@ -29,3 +29,17 @@ def remainder(key: str | Column, modulus: int) -> Column:
 def py_remainder(key: int | None, modulus: int) -> int:
     """The same as `remainder`, inside a task."""
     return zlib.crc32(b"" if key is None else str(key).encode()) % modulus
+
+
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def map_documents(docs: DataFrame, work) -> DataFrame:
+    """The documents table after `work`, which takes an Arrow batch of it and returns one of the same columns."""
+    rows = docs.select(*DOCUMENT)
+
+    def each(batches):
+        for batch in batches:
+            yield work(batch)
+
+    return rows.mapInArrow(each, rows.schema)
