@@ -155,7 +155,9 @@ class PieceCodec:
             sizes.append(len(own))
         if not words:
             return [np.empty(0, np.int32) for _ in texts]
-        code, distinct = pd.factorize(np.array(words, dtype=object))
+        distinct = list(dict.fromkeys(words))
+        number = {w: i for i, w in enumerate(distinct)}
+        code = np.array(list(map(number.__getitem__, words)))
         limit = round(dropout * (1 << 24))
         if limit:
             sizes_ = np.array(sizes)
