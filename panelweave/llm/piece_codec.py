@@ -2,7 +2,7 @@
 
 A text is encoded as the model's own merges would: the best-scored adjacent pair
 is merged first, taken from an agenda. With dropout, each candidate merge on the
-agenda is skipped if its keyed hash falls below the dropout rate, so repeated
+agenda is skipped if its bit of a keyed hash is set, at the dropout rate, so repeated
 words get varied segmentations, all of them sequences of the model's pieces that
 decode to the same text. The key is made of the seed, the document and the place
 of the word, so results do not depend on partitions or retries.
@@ -14,6 +14,7 @@ distinct (word, key) of a batch once and copies the ids to where it stands.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -23,7 +24,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelweave.llm.texts import keyed_text
 
@@ -33,14 +33,28 @@ _SIGN = "\0" + _SPACE  # no word of a text ends in the sign after another charac
 _MASK = (1 << 64) - 1
 _NONE = float("-inf")
 _SHORT = 48  # characters up to which a word's agenda is a plain list
-_CHARS = 4_000_000  # characters of texts encoded at once
-_KNOWN = 200_000  # segmentations a worker remembers
+_CHARS = 2_000_000  # characters of texts encoded at once
+_KNOWN = 200_000  # words whose segmentation without skips a worker remembers
 
 
-def _hash(key: int, begin: int, end: int) -> int:
-    """24 bits from a key and the place of a merge."""
-    x = (key ^ begin * 40503 ^ end * 30011) * 0x9E3779B1 & 0xFFFFFFFF
-    return ((x ^ x >> 15) * 0x85EBCA6B & 0xFFFFFFFF) >> 8
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def skip_bits(keys: np.ndarray, dropout: float) -> np.ndarray:
+    """64 bits for each key, each set with probability `dropout` (in steps of 1/256).
+
+    A bit with probability 0.b1b2...b8 is made of eight hashed bits, from the last
+    binary digit on: or-ed where the digit is 1, and-ed where it is 0.
+    """
+    level = min(255, round(dropout * 256))
+    out = np.zeros(len(keys), np.uint64)
+    for i in range(8):
+        h = _mixed(keys + np.uint64(0x9E3779B97F4A7C15 * (i + 1) & _MASK))
+        out = out | h if level >> i & 1 else out & h
+    return out
 
 
 class PieceCodec:
@@ -55,8 +69,7 @@ class PieceCodec:
         self.ids: dict[str, int] = {}
         self.score: dict[str, float] = {}
         self.table: list[bytes] = []
-        self.known: dict[tuple[str, int], list[int]] = {}
-        self.base: tuple | None = None
+        self.known: dict[str, list[int]] = {}  # segmentations without skips
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -82,13 +95,12 @@ class PieceCodec:
             found += _WORD.findall(("" if i else _SPACE) + part.replace(" ", _SPACE))
         return found
 
-    def segment(self, word: str, key: int, limit: int) -> list[int]:
-        """Ids of a word; a candidate merge whose hash under `key` is below `limit` (of 2**24) is skipped."""
+    def segment(self, word: str, skips: int = 0) -> list[int]:
+        """Ids of a word; the i-th candidate merge that leaves the agenda is skipped if bit i of `skips` is set."""
         if word == _SIGN:
             return [self.bytes[b] for b in _SPACE.encode()]
-        key &= 0x3FFFFFFF
         out = []
-        for symbol in (self._merge_short if len(word) <= _SHORT else self._merge_long)(word, key, limit):
+        for symbol in (self._merge_short if len(word) <= _SHORT else self._merge_long)(word, skips):
             i = self.ids.get(symbol)
             if i is None:
                 out += [self.bytes[b] for b in symbol.encode()]
@@ -96,28 +108,29 @@ class PieceCodec:
                 out.append(i)
         return out
 
-    def _merge_short(self, word: str, key: int, limit: int) -> list[str]:
-        """The agenda as a plain list of scores, beside the symbols and where they begin."""
-        score, symbols, begins = self.score.get, list(word), list(range(len(word) + 1))
+    def _merge_short(self, word: str, skips: int) -> list[str]:
+        """The agenda as a plain list of scores, beside the symbols."""
+        score, symbols = self.score.get, list(word)
         scores = [score(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
         while scores:
             best = max(scores)
             if best == _NONE:
                 break
             i = scores.index(best)
-            if limit and _hash(key, begins[i], begins[i + 2]) < limit:
+            skip, skips = skips & 1, skips >> 1
+            if skip:
                 scores[i] = _NONE
                 continue
             pair = symbols[i] + symbols[i + 1]
             symbols[i : i + 2] = [pair]
-            del begins[i + 1], scores[i]
+            del scores[i]
             if i:
                 scores[i - 1] = score(symbols[i - 1] + pair, _NONE)
             if i < len(scores):
                 scores[i] = score(pair + symbols[i + 1], _NONE)
         return symbols
 
-    def _merge_long(self, word: str, key: int, limit: int) -> list[str]:
+    def _merge_long(self, word: str, skips: int) -> list[str]:
         """The agenda as a heap, for words of any length."""
         score, symbols, n = self.score.get, list(word), len(word)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -136,7 +149,8 @@ class PieceCodec:
             if after[left] != right or not symbols[left] or symbols[left] + symbols[right] != pair:
                 continue
             follow = after[right]
-            if limit and _hash(key, left, follow) < limit:
+            skip, skips = skips & 1, skips >> 1
+            if skip:
                 continue
             symbols[left], symbols[right], after[left] = pair, "", follow
             if before[left] >= 0:
@@ -146,6 +160,12 @@ class PieceCodec:
                 offer(left, follow)
         return [s for s in symbols if s]
 
+    def _skips(self, key: int, word: str, dropout: float) -> int:
+        """Bits for every candidate of a word: it has fewer than three for each character."""
+        count = -(-3 * len(word) // 64)
+        keys = np.uint64(key) + np.arange(count, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return int.from_bytes(skip_bits(keys, dropout).tobytes(), "little")
+
     def encode(self, texts: list[str], keys: list[int], dropout: float, seed: int, variants: int) -> list[np.ndarray]:
         """Ids of each text; keys: one number for each text that its hashes depend on."""
         words, sizes = [], []
@@ -158,29 +178,31 @@ class PieceCodec:
         distinct = list(dict.fromkeys(words))
         number = {w: i for i, w in enumerate(distinct)}
         code = np.array(list(map(number.__getitem__, words)))
-        limit = round(dropout * (1 << 24))
-        if limit:
+        if dropout:
             sizes_ = np.array(sizes)
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes_) - sizes_, sizes_)
-            mixed = np.repeat(np.array([k & _MASK for k in keys], np.uint64), sizes_)
-            for part in (place.astype(np.uint64), np.uint64(seed & _MASK)):
-                mixed = (mixed ^ part) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(32)
-            code = code * variants + (mixed % np.uint64(variants)).astype(np.int64)
+            key = np.repeat(np.array([k & _MASK for k in keys], np.uint64), sizes_)
+            key = _mixed(_mixed(key ^ np.uint64(seed & _MASK)) + place.astype(np.uint64))
+            code = code * variants + (key % np.uint64(variants)).astype(np.int64)
         else:
             variants = 1
         wanted, at = np.unique(code, return_inverse=True)
-        pieces, known, base = [], self.known, (seed, limit, variants)
-        if self.base != base:
-            self.base = base
-            known.clear()
-        for c in wanted.tolist():
-            word, variant = distinct[c // variants], c % variants
-            own = known.get((word, variant))
+        pieces, known = [], self.known
+        if dropout:
+            hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], np.uint64)
+            word_keys = _mixed(hashed[wanted // variants] + np.uint64(seed & _MASK)) + (wanted % variants).astype(np.uint64)
+            skips, word_keys = skip_bits(word_keys, dropout).tolist(), word_keys.tolist()
+        for i, c in enumerate(wanted.tolist()):
+            word = distinct[c // variants]
+            bits = 0
+            if dropout:
+                n = 3 * len(word)
+                bits = skips[i] & (1 << n) - 1 if n <= 64 else self._skips(word_keys[i], word, dropout)
+            own = known.get(word) if not bits else None
             if own is None:
-                own = self.segment(word, xxhash.xxh3_64_intdigest(f"{seed}:{variant}:{word}"), limit)
-                if len(known) < _KNOWN and len(word) < 32:
-                    known[word, variant] = own
+                own = self.segment(word, bits)
+                if not bits and len(known) < _KNOWN and len(word) <= _SHORT:
+                    known[word] = own
             pieces.append(own)
         lengths = np.array([len(p) for p in pieces])
         flat = np.array([i for p in pieces for i in p], np.int32)
@@ -200,6 +222,16 @@ def _codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 
 
+def _encoded(
+    codec: PieceCodec, batches: Iterator[pd.DataFrame], dropout: float, seed: int, variants: int
+) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+    for batch in batches:
+        sizes = batch["text"].str.len().cumsum() // _CHARS
+        for _, part in batch.groupby(sizes.to_numpy(), sort=False):
+            keys = [xxhash.xxh3_64_intdigest("" if pd.isna(k) else str(int(k))) for k in part["doc_id"]]
+            yield part, codec.encode(part["text"].tolist(), keys, dropout, seed, variants)
+
+
 def encode_texts(
     docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int = 4,
     key: str = "doc_id", text: str = "text",
@@ -214,13 +246,8 @@ def encode_texts(
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(path)
-        for batch in batches:
-            sizes = batch["text"].str.len().cumsum() // _CHARS
-            for _, part in batch.groupby(sizes.to_numpy(), sort=False):
-                keys = [xxhash.xxh3_64_intdigest("" if pd.isna(k) else str(int(k))) for k in part["doc_id"]]
-                ids = codec.encode(part["text"].tolist(), keys, dropout, seed, variants)
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "text": part["text"].to_numpy(), "ids": ids})
+        for part, ids in _encoded(_codec(path), batches, dropout, seed, variants):
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "text": part["text"].to_numpy(), "ids": ids})
 
     return keyed_text(docs, key, text).mapInPandas(work, "doc_id long, text string, ids array<int>")
 
@@ -239,10 +266,23 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.mapInPandas(work, schema)
 
 
-def round_trip(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int = 4) -> DataFrame:
-    """doc_id, n_ids, ids_hash, decoded_sha256, lossless of every row."""
-    decoded = decode_ids(encode_texts(docs, path, dropout, seed, variants), path)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+def round_trip(
+    docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int = 4, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id, n_ids, ids_hash, decoded_sha256, lossless of every row: texts are encoded and decoded in one pass."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = _codec(path)
+        for part, ids in _encoded(codec, batches, dropout, seed, variants):
+            decoded = [codec.decode(x) for x in ids]
+            yield pd.DataFrame(
+                {
+                    "doc_id": part["doc_id"].to_numpy(), "n_ids": [len(x) for x in ids],
+                    "ids_hash": [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in ids],
+                    "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded],
+                    "lossless": [a == b for a, b in zip(decoded, part["text"])],
+                }
+            )
+
+    schema = "doc_id long, n_ids long, ids_hash long, decoded_sha256 string, lossless boolean"
+    return keyed_text(docs, key, text).mapInPandas(work, schema)

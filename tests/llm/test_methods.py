@@ -159,7 +159,9 @@ def test_codec_matches_the_model_and_decodes(texts):
     assert [x.tolist() for x in codec.encode(sample, keys, 0.2, 1, 4)] == [x.tolist() for x in varied]
     assert sum(map(len, varied)) > sum(map(len, codec.encode(sample, keys, 0, 1, 4)))
     words = list({w for t in sample for w in codec.words(t)})[:3000]
-    assert all(codec._merge_short(w, 77, m) == codec._merge_long(w, 77, m) for w in words for m in (0, 1 << 21))
+    assert all(codec._merge_short(w, m) == codec._merge_long(w, m) for w in words for m in (0, 0b100100, 0b11))
+    bits = piece_codec.skip_bits(np.arange(20_000, dtype=np.uint64), 0.1)
+    assert np.unpackbits(bits.view(np.uint8)).mean() == pytest.approx(0.1, abs=0.005)
 
 
 @pytest.mark.parametrize("chunk", [256, 3])
