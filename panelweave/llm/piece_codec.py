@@ -196,8 +196,10 @@ class PieceCodec:
             word = distinct[c // variants]
             bits = 0
             if dropout:
-                n = 3 * len(word)
-                bits = skips[i] & (1 << n) - 1 if n <= 64 else self._skips(word_keys[i], word, dropout)
+                # fewer than len(word) candidates leave the agenda before one is skipped
+                n = len(word)
+                bits = skips[i] if n <= 21 else self._skips(word_keys[i], word, dropout)
+                bits = bits if bits & (1 << n - 1) - 1 else 0
             own = known.get(word) if not bits else None
             if own is None:
                 own = self.segment(word, bits)
