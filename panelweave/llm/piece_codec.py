@@ -64,6 +64,7 @@ class PieceCodec:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model  # segments words none of whose merges is skipped
         size = model.get_piece_size()
         self.bytes = [0] * 256
         self.ids: dict[str, int] = {}
@@ -192,20 +193,22 @@ class PieceCodec:
             hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], np.uint64)
             word_keys = _mixed(hashed[wanted // variants] + np.uint64(seed & _MASK)) + (wanted % variants).astype(np.uint64)
             skips, word_keys = skip_bits(word_keys, dropout).tolist(), word_keys.tolist()
+        todo = []
         for i, c in enumerate(wanted.tolist()):
-            word = distinct[c // variants]
-            bits = 0
+            word, bits = distinct[c // variants], 0
             if dropout:
                 # fewer than len(word) candidates leave the agenda before one is skipped
                 n = len(word)
                 bits = skips[i] if n <= 21 else self._skips(word_keys[i], word, dropout)
                 bits = bits if bits & (1 << n - 1) - 1 else 0
-            own = known.get(word) if not bits else None
-            if own is None:
-                own = self.segment(word, bits)
-                if not bits and len(known) < _KNOWN and len(word) <= _SHORT:
-                    known[word] = own
-            pieces.append(own)
+            todo.append((word, bits))
+        whole = list({w for w, bits in todo if not bits and w not in known and w[0] == _SPACE and "\0" not in w})
+        found = dict(zip(whole, self.model.encode([w[1:].replace(_SPACE, " ") for w in whole], num_threads=1)))
+        for word, bits in todo:
+            own = None if bits else known.get(word) or found.get(word)
+            pieces.append(self.segment(word, bits) if own is None else own)
+        if len(known) < _KNOWN:
+            known.update((w, ids) for w, ids in found.items() if len(w) <= _SHORT)
         lengths = np.array([len(p) for p in pieces])
         flat = np.array([i for p in pieces for i in p], np.int32)
         begins, counts = (np.cumsum(lengths) - lengths)[at], lengths[at]
