@@ -202,7 +202,7 @@ class PieceCodec:
                 bits = skips[i] if n <= 21 else self._skips(word_keys[i], word, dropout)
                 bits = bits if bits & (1 << n - 1) - 1 else 0
             todo.append((word, bits))
-        whole = list({w for w, bits in todo if not bits and w not in known and w[0] == _SPACE and "\0" not in w})
+        whole = list({w for w, bits in todo if not bits and w not in known and len(w) > 1 and w[0] == _SPACE and "\0" not in w})
         found = dict(zip(whole, self.model.encode([w[1:].replace(_SPACE, " ") for w in whole], num_threads=1)))
         for word, bits in todo:
             own = None if bits else known.get(word) or found.get(word)
