@@ -47,7 +47,7 @@ EXACT = 96  # customers of a dish up to which the Stirling numbers are tabled
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word is white space
 _BEGIN = xxhash.xxh3_64_intdigest(b"\n\n") % CONTEXTS
 _BLOCK_CHARS = 4_000_000
-_PART_CHARS = 36_000_000
+_PART_CHARS = 18_000_000
 
 
 def words_of(text: str) -> list[bytes]:
