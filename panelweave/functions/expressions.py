@@ -76,7 +76,10 @@ def fill_defaults(
             fill = numeric
         else:
             continue
-        fills[field.name] = F.coalesce(F.col(field.name), F.lit(fill).cast(field.dataType))
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            value = F.when(~F.isnan(value), value)  # NaN is a missing number
+        fills[field.name] = F.coalesce(value, F.lit(fill).cast(field.dataType))
     return df.withColumns(fills) if fills else df
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.ordering import exact_medians, with_row_index
+from panelweave.operators.ordering import exact_medians, value_counts_below, with_row_index
 
 
 def target_means(
@@ -133,29 +133,47 @@ def time_split(
 
 
 def ordered_split(
-    df: DataFrame, order: Sequence[str | Column], fraction: float = 0.8, name: str = "in_train"
+    df: DataFrame, order: Sequence[str], fraction: float = 0.8, name: str = "in_train"
 ) -> DataFrame:
     """Flag the first `floor(fraction * n)` rows under a total order."""
-    indexed = with_row_index(df, order, "_idx")
-    cut = int(indexed.count() * fraction)
-    return indexed.withColumn(name, F.col("_idx") < cut).drop("_idx")
+    n = df.count()
+    return _blocks(df, order, [int(n * fraction)], "_block").withColumn(name, F.col("_block") == 0).drop("_block")
+
+
+def _blocks(df: DataFrame, order: Sequence[str], cuts: Sequence[int], name: str) -> DataFrame:
+    """Number of the cuts at or below the position of each row under a total order.
+
+    Rows are counted by the first column of the order (a period). The position of
+    nearly every row lies between the same cuts as its whole period; only the rows
+    of periods that hold a cut, at most one for each cut, are put in order.
+    """
+    lead = F.struct(F.col(order[0]).isNotNull(), F.col(order[0])).alias("_lead")
+    keyed = df.withColumn("_lead", lead)
+    periods = value_counts_below(keyed.select("_lead"), [], "_lead")
+    number = lambda at: sum(((at >= c).cast("int") for c in cuts), F.lit(0))
+    periods = periods.select(
+        "_lead", "below", number(F.col("below")).alias("_first"), number(F.col("below") + F.col("n") - 1).alias("_last")
+    )
+    placed = keyed.join(periods, "_lead")
+    whole = placed.filter("_first = _last").withColumn(name, F.col("_first"))
+    split = with_row_index(placed.filter("_first <> _last"), order, "_at")
+    # earlier split periods are whole in the index: take them off
+    starts = split.groupBy("_lead").agg(F.min("_at").alias("_begin"))
+    split = split.join(starts, "_lead").withColumn(name, number(F.col("below") + F.col("_at") - F.col("_begin")))
+    return whole.select(*df.columns, name).unionByName(split.select(*df.columns, name))
 
 
 def time_folds(
-    df: DataFrame, order: Sequence[str | Column], n_splits: int = 3, name: str = "fold"
+    df: DataFrame, order: Sequence[str], n_splits: int = 3, name: str = "fold"
 ) -> DataFrame:
     """Blocks for expanding-window validation.
 
     Fold k (1..n_splits) tests on block k and trains on all blocks before it.
     Each test block has `n // (n_splits + 1)` rows; the rest is block 0.
     """
-    indexed = with_row_index(df, order, "_idx")
-    n = indexed.count()
+    n = df.count()
     size = n // (n_splits + 1)
     if size == 0:
         raise ValueError(f"{n} rows cannot be cut into {n_splits} folds")
     start = n - n_splits * size
-    block = F.when(F.col("_idx") < start, F.lit(0)).otherwise(
-        F.floor((F.col("_idx") - start) / size) + 1
-    )
-    return indexed.withColumn(name, block.cast("int")).drop("_idx")
+    return _blocks(df, order, [start + k * size for k in range(n_splits)], name)

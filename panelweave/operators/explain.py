@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 200_000
-
-
-def shuffle_buckets(n_rows: int) -> int:
-    """Hex digits of the hash that name a bucket of about ROWS_PER_BUCKET rows."""
-    if n_rows <= ROWS_PER_BUCKET:
-        return 0
-    return math.ceil(math.log(n_rows / ROWS_PER_BUCKET, 16))
-
+from panelweave.operators.ordering import with_row_index
 
 def permute(
     df: DataFrame, key: Sequence[str], columns: Sequence[str], seed: int, prefix: str = "perm_"
@@ -25,23 +16,20 @@ def permute(
 
     The rows are put in the random but reproducible order of
     `md5(key parts joined by '|' | seed)` and every row takes the values of its
-    successor, the last one those of the first. Large tables are permuted inside
-    buckets named by the leading hash digits; hashes of unique keys spread
-    evenly, so no bucket is hot. Whole sequences move together when a column is
-    an array.
+    successor, the last one those of the first. The order is one range sort over
+    the whole table at every size; the successor is found by its position, so no
+    task holds more than its range. Whole sequences move together when a column
+    is an array.
     """
-    digits = shuffle_buckets(df.count())
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))
     hashed = df.withColumn("_h", F.md5(text.cast("binary")))
-    hashed = hashed.withColumn("_b", F.substring("_h", 1, digits))
-    w = Window.partitionBy("_b").orderBy("_h", *key)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = F.struct(*[F.col(c) for c in columns])
-    following = F.coalesce(F.lead(cells).over(w), F.first(cells).over(whole))
-    out = hashed.withColumn("_next", following)
-    return out.select(
-        *df.columns, *[F.col(f"_next.{c}").alias(f"{prefix}{c}") for c in columns]
+    placed = with_row_index(hashed, ["_h", *key], "_at").drop("_h")
+    total = placed.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    following = placed.join(F.broadcast(total)).select(
+        F.pmod(F.col("_at") - 1, F.col("_n")).alias("_at"),
+        *[F.col(c).alias(f"{prefix}{c}") for c in columns],
     )
+    return placed.join(following, "_at").select(*df.columns, *[f"{prefix}{c}" for c in columns])
 
 
 def permutation_importance_linear(

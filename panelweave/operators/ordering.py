@@ -76,16 +76,20 @@ def _add_carry(
     )
 
 
-def value_counts_below(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+def value_counts_below(
+    df: DataFrame, group: Sequence[str], value: str, weight: str | None = None
+) -> DataFrame:
     """Distinct values per group with `n` (rows) and `below` (rows with a smaller value).
 
+    weight  column with the number of rows that a row stands for (default 1)
+
     Rows with a missing value are left out. Ties collapse in the map-side part
     of the count, so a value that holds a third of all rows is one row here.
     """
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     )
     placed = durable(
         counts.sort(*group, value).select("*", F.spark_partition_id().alias(_PART))
@@ -136,13 +140,11 @@ def _lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
-# up to this many values a plain window per column is cheaper than a range sort
-FEW_VALUES = 1_000_000
 _EVERYTHING = (float("-inf"), float("inf"))
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -> dict:
-    """Exact median of each column (mean of the two middle values), missing skipped.
+    """Exact median of each column (mean of the two middle values), missing and NaN skipped.
 
     1. one pass: row counts and an approximate bracket around the middle;
     2. one pass: rows below the bracket and inside it;
@@ -150,29 +152,13 @@ def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -
 
     Only the values inside the brackets are shuffled. A bracket that misses the
     middle (approximation error) is opened fully, so the result stays exact.
-    Small inputs are ordered directly.
     """
     medians: dict[str, float | None] = {c: None for c in columns}
-    if df.count() * len(columns) <= FEW_VALUES:
-        everything = {c: (_EVERYTHING, 0) for c in columns}
-        counts = _cells(df, everything).groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
-        whole = Window.partitionBy("col")
-        running = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        placed = counts.withColumns(
-            {
-                "below": F.coalesce(F.sum("n").over(running), F.lit(0)),
-                "size": F.sum("n").over(whole),
-            }
-        )
-        lo, hi = F.floor((F.col("size") - 1) / 2), F.floor(F.col("size") / 2)
-        target = (F.col("below") <= hi) & (F.col("below") + F.col("n") > lo)
-        return medians | _mean_of_ends(placed.filter(target))
-
     first = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.count(_known(c)).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[
             F.percentile_approx(
-                F.col(c).cast("double"), [0.5 - margin, 0.5 + margin], F.lit(1000)
+                _known(c), [0.5 - margin, 0.5 + margin], F.lit(1000)
             ).alias(f"q_{i}")
             for i, c in enumerate(columns)
         ],
@@ -197,11 +183,17 @@ def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 0.01) -
     return medians | _mean_of_ends(placed.filter(target))
 
 
+def _known(c: str) -> Column:
+    """The value as a double, NaN as missing."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def _cells(df: DataFrame, chosen: dict) -> DataFrame:
     """Long table (col, v) of the known values inside each column's bracket."""
     cells = []
     for c, ((lo, hi), _) in chosen.items():
-        v = F.col(c).cast("double")
+        v = _known(c)
         cells.append(F.when(v.between(F.lit(lo), F.lit(hi)), F.struct(F.lit(c).alias("col"), v.alias("v"))))
     # only the cells inside a bracket leave the row
     return df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select("_cell.*")
@@ -219,11 +211,11 @@ def _count_inside(df: DataFrame, brackets: dict) -> dict[str, tuple[int, int]]:
     """Rows below each bracket, and rows inside it."""
     row = df.agg(
         *[
-            F.count(F.when(F.col(c).cast("double") < lo, 1)).alias(f"b_{i}")
+            F.count(F.when(_known(c) < lo, 1)).alias(f"b_{i}")
             for i, (c, (lo, _)) in enumerate(brackets.items())
         ],
         *[
-            F.count(F.when(F.col(c).cast("double").between(lo, hi), 1)).alias(f"i_{i}")
+            F.count(F.when(_known(c).between(lo, hi), 1)).alias(f"i_{i}")
             for i, (c, (lo, hi)) in enumerate(brackets.items())
         ],
     ).first()

@@ -90,8 +90,9 @@ def dense_spine(
     length = F.lit(n_periods) if isinstance(n_periods, int) else n_periods
     spine = facts.select(*groups).distinct()
     kind = facts.schema[period].dataType
-    periods = F.sequence(F.lit(1).cast(kind), length.cast(kind))
-    spine = spine.withColumn(period, F.explode(periods))
+    periods = F.sequence(F.lit(1).cast(kind), F.greatest(length, F.lit(1)).cast(kind), F.lit(1).cast(kind))
+    # a length below 1 has no periods: a sequence would count down
+    spine = spine.filter(length >= 1).withColumn(period, F.explode(periods))
     known = facts.withColumn(marker, F.lit(True))
     joined = spine.join(known, [*groups, period], "left")
     return joined.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
@@ -100,18 +101,22 @@ def dense_spine(
 def calendar_grid(
     entities: DataFrame,
     season: str,
-    seasons: Sequence[int],
+    seasons: Sequence[int] | DataFrame,
     period: str,
     n_periods: Column | int,
 ) -> DataFrame:
     """Every entity in every period of the given seasons.
 
-    The season list is short and fixed by the caller; it is expanded on the
-    entity rows, so the work is spread by entity.
+    seasons  numbers, or a table of distinct seasons in the column `season`; it is
+             gathered to one array row (years are few) that every entity expands,
+             so the work is spread by entity.
     """
     length = F.lit(n_periods) if isinstance(n_periods, int) else n_periods
-    listed = F.array(*[F.lit(int(s)) for s in seasons])
-    grid = entities.withColumn(season, F.explode(listed))
+    if isinstance(seasons, DataFrame):
+        listed = seasons.agg(F.sort_array(F.collect_set(season)).alias("_seasons"))
+        grid = entities.join(F.broadcast(listed)).withColumn(season, F.explode("_seasons")).drop("_seasons")
+    else:
+        grid = entities.withColumn(season, F.explode(F.array(*[F.lit(int(s)) for s in seasons])))
     return grid.withColumn(period, F.explode(F.sequence(F.lit(1), length)))
 
 

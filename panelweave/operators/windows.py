@@ -24,6 +24,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _number(c: str | Column) -> Column:
+    """The value, NaN as missing."""
+    c = _col(c)
+    return F.when(~F.isnan(c), c)
+
+
 def series(entity: Sequence[str], order: Sequence[str]) -> WindowSpec:
     """Window of an entity's rows in time order."""
     return Window.partitionBy(*entity).orderBy(*order)
@@ -41,7 +47,7 @@ def lag_value(c: str | Column, w: WindowSpec, by: int = 1) -> Column:
 
 def rolling(c: str | Column, w: WindowSpec, n: int, how: str) -> Column:
     """min, max, mean or sum of the previous `n` rows, all of which must be known."""
-    c = _col(c)
+    c = _number(c)
     frame = w.rowsBetween(-n, -1)
     function = {"min": F.min, "max": F.max, "mean": F.avg, "sum": F.sum}[how]
     return F.when(F.count(c).over(frame) == n, function(c).over(frame))
@@ -49,7 +55,7 @@ def rolling(c: str | Column, w: WindowSpec, n: int, how: str) -> Column:
 
 def rolling_count_over(c: str | Column, w: WindowSpec, n: int, threshold: float) -> Column:
     """How many of the previous `n` rows, all known, lie above `threshold`."""
-    c = _col(c)
+    c = _number(c)
     frame = w.rowsBetween(-n, -1)
     return F.when(
         F.count(c).over(frame) == n, F.count(F.when(c > threshold, 1)).over(frame)
@@ -90,7 +96,7 @@ def add_ewm(
 ) -> DataFrame:
     """Exponentially weighted means of all rows before the current one.
 
-    columns      output name -> value; missing values carry no weight
+    columns      output name -> value; missing values and NaN carry no weight
     span         decay alpha = 2 / (span + 1), weights (1-alpha)^(row distance)
     min_periods  known values needed before the current row
     complete     condition under which *all* columns are known; give it when
@@ -109,6 +115,7 @@ def add_ewm(
     running or per-block aggregate: linear, without collecting lists.
     """
     placed = _place(df, entity, order, span)
+    columns = {name: _number(c) for name, c in columns.items()}
     return _ewm(placed, entity, columns, span, min_periods, complete).drop(*_PLACE)
 
 

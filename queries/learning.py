@@ -334,15 +334,11 @@ def attribution_ranking(spark, folder):
 @query(
     "permutation_importance",
     f"""WITH {roles.PRED}, {LEAST_SQUARES},
-    size AS (SELECT CASE WHEN count(*) <= {explain.ROWS_PER_BUCKET} THEN 0
-      ELSE cast(ceil(ln(count(*) / {explain.ROWS_PER_BUCKET}.0::DOUBLE) / ln(16)) AS INTEGER) END AS digits
-      FROM pred),
     hashed AS (SELECT *, md5(user_id || '|' || day || '|{SEED}') AS h FROM pred),
-    bucketed AS (SELECT *, substr(h, 1, digits) AS b FROM hashed, size),
     shuffled AS (SELECT y, p, l1,
         coalesce(lead(p) OVER w, first_value(p) OVER w) AS pp,
         coalesce(lead(l1) OVER w, first_value(l1) OVER w) AS pl
-      FROM bucketed WINDOW w AS (PARTITION BY b ORDER BY h, user_id, day)),
+      FROM hashed WINDOW w AS (ORDER BY h, user_id, day)),
     errors AS (SELECT y - (my + bp * (p - mp) + bl * (l1 - ml)) AS e, bp, bl, p, l1, pp, pl
       FROM shuffled, fit)
     SELECT 'p' AS feature, round(avg(pow(e - bp * (pp - p), 2)) - avg(e * e), 4) AS importance FROM errors

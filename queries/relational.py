@@ -9,10 +9,6 @@ from panelweave.operators import encode, joins, metrics, reshape, windows
 from queries import roles
 from queries.registry import query, table
 
-# months covered by the orders table
-SEASONS = range(1995, 2002)
-
-
 @query(
     "join_inner_dim",
     """SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey
@@ -188,13 +184,14 @@ def join_prior_period(spark, folder):
 
 def customer_calendar(spark, folder):
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"))
-    return reshape.calendar_grid(customers, "season", list(SEASONS), "month", 12)
+    seasons = table(spark, folder, "orders").select(F.year("o_orderdate").alias("season")).distinct()
+    return reshape.calendar_grid(customers, "season", seasons, "month", 12)
 
 
 CALENDAR = f"""
 calendar AS (
   SELECT c_custkey AS custkey, cast(s AS INTEGER) AS season, cast(m AS INTEGER) AS month
-  FROM customer, range({SEASONS.start}, {SEASONS.stop}) a(s), range(1, 13) b(m)),
+  FROM customer, (SELECT DISTINCT year(o_orderdate) AS s FROM orders), range(1, 13) b(m)),
 booked AS (
   SELECT o_custkey AS custkey, cast(year(o_orderdate) AS INTEGER) AS season,
          cast(month(o_orderdate) AS INTEGER) AS month, max(o_orderpriority) AS priority,
@@ -270,11 +267,11 @@ def dense_spine(spark, folder):
 
 @query(
     "dedupe_keep_first",
-    """SELECT user_id, cast(day(ts) AS INTEGER) AS day, event_id, event_type, value FROM events
-       QUALIFY row_number() OVER (PARTITION BY user_id, day(ts) ORDER BY ts, event_id) = 1""",
+    f"""WITH {roles.UD} SELECT user_id, day, event_id, event_type, value FROM numbered
+       QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) = 1""",
 )
 def dedupe_keep_first(spark, folder):
-    events = table(spark, folder, "events").withColumn("day", F.dayofmonth("ts"))
+    events = roles.numbered_events(spark, folder)
     first = reshape.keep_first(events, ["user_id", "day"], [F.col("ts"), F.col("event_id")])
     return first.select("user_id", "day", "event_id", "event_type", "value")
 

@@ -1,6 +1,7 @@
 """The given tables in the roles of a panel, as DataFrames and as SQL CTEs.
 
-ud     user x day: events summed per day, completed to days 1-30
+ud     user x day: events summed per day, completed to all days from the first
+       to the last of the table; day 1 is the first day
 nm     nation x month: order value of a nation's customers
 flow   goods flow: month, seller nation, buyer nation, revenue, quantity
 pred   ud rows with the lagged 3-day mean as a prediction of the day
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from panelweave.operators import reshape, windows
 from queries.registry import table
 
-DAYS = 30
 USER_DAY = (["user_id"], ["day"])
 
 
@@ -32,36 +32,51 @@ def sql_money(c: str) -> str:
     return f"cast(sum(cast(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE"
 
 
+def numbered_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with `day` (1 on the first day of the table) and `last_day`."""
+    events = table(spark, folder, "events")
+    date = F.to_date("ts")
+    span = events.agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+    # one row with the bounds of the table
+    return events.join(F.broadcast(span)).select(
+        "*",
+        (F.date_diff(date, F.col("_first")) + 1).alias("day"),
+        (F.date_diff(F.col("_last"), F.col("_first")) + 1).alias("last_day"),
+    ).drop("_first", "_last")
+
+
 def event_days(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        table(spark, folder, "events")
-        .groupBy("user_id", F.dayofmonth("ts").alias("day"))
+        numbered_events(spark, folder)
+        .groupBy("user_id", "day", "last_day")
         .agg(money("value").alias("x"), F.count(F.lit(1)).alias("n_events"))
     )
 
 
 def ud(spark: SparkSession, folder: str) -> DataFrame:
     """user_id, day, x (missing on inactive days), n_events, active."""
-    return reshape.dense_spine(event_days(spark, folder), ["user_id"], "day", DAYS)
+    days = event_days(spark, folder)
+    return reshape.dense_spine(days, ["user_id", "last_day"], "day", F.col("last_day")).drop("last_day")
 
 
 UD = f"""
+span AS (SELECT min(cast(ts AS DATE)) AS first, max(cast(ts AS DATE)) AS last FROM events),
+numbered AS (
+  SELECT *, cast(date_diff('day', first, cast(ts AS DATE)) + 1 AS INTEGER) AS day FROM events, span),
 ev AS (
-  SELECT user_id, cast(day(ts) AS INTEGER) AS day,
-         {sql_money('value')} AS x, count(*) AS n_events
-  FROM events GROUP BY 1, 2),
+  SELECT user_id, day, {sql_money('value')} AS x, count(*) AS n_events
+  FROM numbered GROUP BY 1, 2),
 ud AS (
   SELECT s.user_id, s.day, e.x, e.n_events, e.user_id IS NOT NULL AS active
   FROM (SELECT user_id, cast(d AS INTEGER) AS day
-        FROM (SELECT DISTINCT user_id FROM events), range(1, {DAYS + 1}) t(d)) s
+        FROM (SELECT DISTINCT user_id FROM events),
+             (SELECT unnest(range(1, date_diff('day', first, last) + 2)) AS d FROM span)) s
   LEFT JOIN ev e ON e.user_id = s.user_id AND e.day = s.day)"""
 
 
 def first_kind(spark: SparkSession, folder: str) -> DataFrame:
     """Type of the first event per user and day."""
-    events = table(spark, folder, "events").select(
-        "user_id", F.dayofmonth("ts").alias("day"), "ts", "event_id", "event_type"
-    )
+    events = numbered_events(spark, folder).select("user_id", "day", "ts", "event_id", "event_type")
     first = reshape.keep_first(events, ["user_id", "day"], [F.col("ts"), F.col("event_id")])
     return first.select("user_id", "day", F.col("event_type").alias("kind"))
 
@@ -72,8 +87,8 @@ def ud_kind(spark: SparkSession, folder: str) -> DataFrame:
 
 UD_KIND = f"""{UD},
 first_kind AS (
-  SELECT user_id, cast(day(ts) AS INTEGER) AS day, event_type AS kind FROM events
-  QUALIFY row_number() OVER (PARTITION BY user_id, day(ts) ORDER BY ts, event_id) = 1),
+  SELECT user_id, day, event_type AS kind FROM numbered
+  QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) = 1),
 udk AS (
   SELECT u.*, k.kind FROM ud u
   LEFT JOIN first_kind k ON k.user_id = u.user_id AND k.day = u.day)"""

@@ -116,8 +116,13 @@ def test_early_stopping_keeps_the_best_iteration(spark):
     assert model.stages[-1].getNumTrees == losses.index(min(losses)) + 1
 
 
-def test_permutation_is_a_bijection_and_finds_the_feature(spark, monkeypatch):
-    monkeypatch.setattr(explain, "ROWS_PER_BUCKET", 50)
+def test_permutation_does_not_depend_on_partitions(spark):
+    df = spark.range(500).selectExpr("id", "id * 1.5D as a")
+    one, many = (rows(explain.permute(df.repartition(n), ["id"], ["a"], 3), "id", "perm_a") for n in (1, 8))
+    assert one == many
+
+
+def test_permutation_is_a_bijection_and_finds_the_feature(spark):
     df = spark.range(600).selectExpr("id", "rand(1) as a", "rand(2) as b")
     df = df.withColumn("y", F.col("a") * 4).withColumn("p", F.col("a") * 4 + F.col("b") * 0)
     both = explain.permute(df, ["id"], ["a", "b"], 3)

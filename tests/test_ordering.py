@@ -70,9 +70,7 @@ def test_no_window_over_detail_rows_in_one_task(spark):
     assert "SinglePartition" not in plan(ordering.value_counts_below(df, ["g"], "v"))
 
 
-@pytest.mark.parametrize("few", [0, 10**6])
-def test_exact_medians(spark, monkeypatch, few):
-    monkeypatch.setattr(ordering, "FEW_VALUES", few)
+def test_exact_medians(spark):
     rng = random.Random(2)
     data = [
         (rng.gauss(0, 5), rng.randrange(4) if rng.random() > 0.1 else None, 3.0, None)
@@ -85,8 +83,20 @@ def test_exact_medians(spark, monkeypatch, few):
     assert got["c"] == 3.0 and got["d"] is None
 
 
+def test_nan_is_no_value_of_a_median(spark):
+    data = [(float(i) if i % 5 else float("nan"),) for i in range(1001)] + [(None,)] * 7
+    df = spark.createDataFrame(data, "x double").repartition(3)
+    want = statistics.median(r[0] for r in data if r[0] is not None and r[0] == r[0])
+    assert ordering.exact_medians(df, ["x"]) == {"x": want}
+
+
+def test_weighted_value_counts(spark):
+    df = spark.createDataFrame([(1.0, 3), (2.0, 1), (2.0, 4), (None, 9)], "v double, w int")
+    got = rows(ordering.value_counts_below(df, [], "v", "w"), "v", "n", "below")
+    assert got == [(1.0, 3, 0), (2.0, 5, 3)]
+
+
 def test_bracket_that_misses_is_opened(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "FEW_VALUES", 0)
     df = spark.createDataFrame([(float(i),) for i in [1, 2, 4, 10]], "x double")
     monkeypatch.setattr(ordering, "_count_inside", lambda df, b: {"x": (3, 1)})
     assert ordering.exact_medians(df, ["x"]) == {"x": 3.0}
@@ -101,3 +111,17 @@ def test_folds_and_split(spark):
     assert [s for _, _, s in split] == [True] * 8 + [False] * 3
     with pytest.raises(ValueError):
         encode.time_folds(df.limit(3), ["t", "id"])
+
+
+@pytest.mark.parametrize("n_periods", [1, 3, 50])
+def test_blocks_follow_the_whole_order(spark, n_periods):
+    rng = random.Random(n_periods)
+    data = [(rng.randrange(n_periods) if i else None, i, rng.random()) for i in range(203)]
+    df = spark.createDataFrame(data, "t int, id int, v double").repartition(4)
+    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    size = len(data) // 4
+    start = len(data) - 3 * size
+    want = {r[1]: 0 if i < start else (i - start) // size + 1 for i, r in enumerate(order)}
+    assert {r["id"]: r["fold"] for r in encode.time_folds(df, ["t", "id"]).collect()} == want
+    first = {r[1] for r in order[: int(0.8 * len(data))]}
+    assert {r["id"] for r in encode.ordered_split(df, ["t", "id"]).filter("in_train").collect()} == first
