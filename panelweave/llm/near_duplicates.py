@@ -5,7 +5,8 @@ a MinHash signature cut into bands; classes that share a band hash meet through
 the least of them, and the connected sets of these meetings are the candidates.
 Inside a candidate set every pair is verified on the full n-gram sets. A large
 set is cut into chunks and each pair of chunks is a task of its own, so neither
-pairs nor whole sets are ever rows or single tasks.
+pairs nor whole sets are ever rows or single tasks. Joins whose sides grow with
+the table are hinted to be merged, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from panelweave.llm.texts import keyed_text
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _KNOWN = 200_000  # words whose hashes a task remembers
+_BITS = 1 << 24  # of the bitmap that keeps unwanted rows out of a shuffle
 _COLUMNS = 8192  # n-grams compared at once
 
 
@@ -123,7 +126,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
     """Edges between each class and the least class of its bands."""
     met = reps.select(F.col("rep"), F.posexplode("bands").alias("band", "h"))
     least = met.groupBy("band", "h").agg(F.min("rep").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return met.join(least, ["band", "h"]).select(F.col("rep").alias("u"), "v").filter("u != v").distinct()
+    return met.join(least.hint("merge"), ["band", "h"]).select(F.col("rep").alias("u"), "v").filter("u != v").distinct()
 
 
 def _local_roots(linked: np.ndarray) -> np.ndarray:
@@ -160,6 +163,21 @@ def _links(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return linked
 
 
+def _bitmap(rows: DataFrame) -> Broadcast[np.ndarray]:
+    """Bits at the low parts of the text hashes: 2 MB at every size of the table.
+
+    With very many rows more bits are set and fewer other rows are kept back;
+    the join that follows decides.
+    """
+    low = F.col("text_hash").bitwiseAND(F.lit(_BITS - 1))
+    set_ = rows.groupBy(F.shiftright(low, 3).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), low.bitwiseAND(F.lit(7)).cast("int"))).alias("bits")
+    ).toPandas()
+    table = np.zeros(_BITS // 8, np.uint8)
+    table[set_["at"].to_numpy(np.int64)] = set_["bits"].to_numpy(np.int64)
+    return rows.sparkSession.sparkContext.broadcast(table)
+
+
 def _verify(docs: DataFrame, placed: DataFrame, n: int, similarity: float, chunk: int) -> DataFrame:
     """rep, links (rows of other classes at or above the similarity), root (of the links inside one task)."""
     sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
@@ -178,18 +196,25 @@ def _verify(docs: DataFrame, placed: DataFrame, n: int, similarity: float, chunk
         .withColumn("key", F.when(F.col("shared") >= 0, F.lit(0)).otherwise(F.col("root")))
     )
 
+    bits = _bitmap(placed)
+
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = GramSet(n)
+        of, table = GramSet(n), bits.value
         for batch in batches:
-            yield batch.drop(columns="text").assign(grams=[of(t).tobytes() for t in batch["text"]])
+            h = batch["text_hash"].to_numpy(np.int64) & (_BITS - 1)
+            part = batch[table[h >> 3] >> (h & 7) & 1 > 0]
+            yield part.drop(columns="text").assign(grams=[of(t).tobytes() for t in part["text"]])
 
-    keyed = keyed_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    wanted = placed.select("rep", "doc_id", "text_hash").withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
+    # texts stay where they are: only n-grams of rows that may be wanted are shuffled
     found = (
-        keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t")))
-        .select("rep", "text").mapInPandas(grams, "rep long, grams binary")
+        keyed_text(docs).withColumn("text_hash", F.xxhash64("text"))
+        .mapInPandas(grams, "doc_id long, text_hash long, grams binary")
     )
-    blocks = spread.drop("doc_id", "text_hash").join(found, "rep")
+    wanted = placed.select("rep", "doc_id", "text_hash").withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
+    found = found.join(
+        wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t"))
+    ).select("rep", "grams")
+    blocks = spread.drop("doc_id", "text_hash").join(found.hint("merge"), "rep")
 
     def work(block: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -235,7 +260,7 @@ def near_duplicates(
     )
     classes = durable(members)
     reps = every.select(F.col("row").alias("rep"), "doc_id", "text_hash", "bands").join(
-        classes.select("rep", "size", "class_id"), "rep"
+        classes.select("rep", "size", "class_id").hint("merge"), "rep"
     )
     near = components(_candidates(reps)).withColumnRenamed("node", "rep")
     placed = durable(reps.drop("bands", "class_id").join(near, "rep"))
@@ -251,7 +276,7 @@ def near_duplicates(
     table = grouped.join(named, "root").select(
         "k1", "k2", "class_id", "group_id", "root", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")
     )
-    return every.select("row", "doc_id", "text_hash", "k1", "k2").join(table, ["k1", "k2"]).select(
+    return every.select("row", "doc_id", "text_hash", "k1", "k2").join(table.hint("merge"), ["k1", "k2"]).select(
         "doc_id", "text_hash", "class_id", "group_id", "n_links", (F.col("row") == F.col("root")).alias("first_of_group")
     )
 
