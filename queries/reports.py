@@ -17,7 +17,7 @@ def published_rows(spark, folder):
         F.col("c_mktsegment").alias("position"),
         F.col("c_nationkey").alias("n_nationkey"),
         F.when(F.col("c_acctbal") >= 4500, 1).otherwise(2).alias("depth_team"),
-        F.when(F.col("c_acctbal") > 0, "ACT").otherwise("INA").alias("status"),
+        F.when(F.col("c_custkey") % 5 > 0, "ACT").otherwise("INA").alias("status"),
     )
     nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("recent_team"))
     return (
@@ -45,7 +45,7 @@ published AS (
     n_name AS recent_team, c_mktsegment AS opponent_team,
     round(p, 6) AS predicted_fantasy_points, y AS fantasy_points
   FROM pred JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
-  WHERE c_acctbal >= 4500)"""
+  WHERE c_acctbal >= 4500 AND c_custkey % 5 > 0)"""
 
 
 @query("publish_output", f"WITH {PUBLISHED} SELECT * FROM published")

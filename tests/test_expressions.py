@@ -99,3 +99,12 @@ def test_predictions_are_computed_once(spark, tmp_path):
         got = sources.cached_predictions(spark, str(tmp_path), "lr", "individual", compute)
         assert got.count() == 3
     assert len(calls) == 1
+
+
+def test_another_version_is_another_table(spark, tmp_path):
+    def table(n):
+        return lambda: spark.range(n).withColumnRenamed("id", "x")
+
+    for version, n, want in (("a", 2, 2), ("b", 3, 3), ("a", 9, 2)):
+        got = sources.cached_predictions(spark, str(tmp_path), "lr", "individual", table(n), version)
+        assert got.count() == want

@@ -125,3 +125,15 @@ def test_blocks_follow_the_whole_order(spark, n_periods):
     assert {r["id"]: r["fold"] for r in encode.time_folds(df, ["t", "id"]).collect()} == want
     first = {r[1] for r in order[: int(0.8 * len(data))]}
     assert {r["id"] for r in encode.ordered_split(df, ["t", "id"]).filter("in_train").collect()} == first
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from pathlib import Path
+
+    from panelweave.lineage import durable, scratch
+
+    with scratch(spark):
+        kept = durable(spark.range(5))
+        files = [Path(f.removeprefix("file:")) for f in kept.inputFiles()]
+        assert kept.count() == 5 and all(f.exists() for f in files)
+    assert not any(f.exists() for f in files)

@@ -8,7 +8,9 @@ import __spark_entry__ as entry_points
 
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 # trained from scratch: covered by tests/test_learning.py and the bench
-SLOW = {"train_all", "grid_search", "loss_by_iteration", "model_roundtrip", "gbt_fit_score", "preprocess_fit_score"}
+SLOW = {"train_all", "pipeline"}
+# corpus queries have tests of their own
+CORPUS = {n for n in QUERIES if n[:2] == "op" and n[2:3].isdigit()}
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +23,9 @@ def test_same_as_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SMALL), con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW - CORPUS))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SMALL).count() > 0
+    assert len(QUERIES[name](spark, SMALL).collect()) > 0  # every column is computed
 
 
 def test_entry(spark):
