@@ -21,8 +21,8 @@ packed as columns, to the partition of the word, so all a dish needs is in one
 task; words that make up much of the corpus are dealt by word and context instead,
 so no task holds one. What a task needs of others, the totals of the bounded set
 of restaurants and of the frequent words, is summed in one pass before sampling
-and then moved in proportion to the task's own share. Each task returns sums by
-document, which are added up.
+and then moved in proportion to the task's own share. Each task returns a packed
+column of sums for the documents of each block, and these are added up.
 """
 
 from __future__ import annotations
@@ -46,8 +46,8 @@ CONTEXTS = 4096
 EXACT = 96  # customers of a dish up to which the Stirling numbers are tabled
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word is white space
 _BEGIN = xxhash.xxh3_64_intdigest(b"\n\n") % CONTEXTS
-_BLOCK_CHARS = 4_000_000
-_PART_CHARS = 18_000_000
+_BLOCK_CHARS = 3_000_000
+_PART_CHARS = 24_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -78,6 +78,7 @@ def _block(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words.append(b"\n")
         sizes.append(len(own) + 1)
     code, distinct = pd.factorize(np.array(words, dtype=object))
+    del words
     w = np.array([xxhash.xxh3_64_intdigest(x) for x in distinct], np.uint64)[code]
     context = np.concatenate([[_BEGIN], w[:-1] % np.uint64(CONTEXTS)]).astype(np.uint16)
     context[np.cumsum(sizes)[:-1]] = _BEGIN
@@ -337,27 +338,30 @@ def _scored(
                     at += 8 + size
                     pair = np.repeat(np.cumsum(pair.astype(np.int64)), own)
                     total = lambda x: np.bincount(doc, weights=n * x, minlength=len(rows))  # noqa: B023, E731
-                    found = total(np.ones(len(pair)))
-                    keep = found > 0
-                    yield pd.DataFrame(
-                        {
-                            "row": np.cumsum(rows)[keep],
-                            "doc_id": pd.Series(np.cumsum(ids)[keep], dtype="Int64").where(pd.Series(with_id[keep])),
-                            "held_out": ~train[keep],
-                            "n_tokens": found[keep].astype(np.int64), "n_known": total(known[pair])[keep].astype(np.int64),
-                            "base_score": total(plain[pair])[keep], "score": total(score[pair])[keep],
-                        }
+                    data = dump(
+                        rows, ids, with_id, train, total(np.ones(len(pair))).astype(np.uint32),
+                        total(known[pair]).astype(np.uint32), total(plain[pair]), total(score[pair]),
                     )
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return (
-        parts.mapInPandas(work, schema).groupBy("row", "doc_id", "held_out")
-        .agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score")])
-        .select(
-            "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
-            "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+                    yield pd.DataFrame({"block": rows[:1], "data": [data]})
+
+    def added(sent: pd.DataFrame) -> pd.DataFrame:
+        parts_ = [load(d) for d in sent["data"]]
+        rows, ids, with_id, train = parts_[0][:4]
+        found, known, plain, score = (np.sum([x[i] for x in parts_], axis=0) for i in range(4, 8))
+        return pd.DataFrame(
+            {
+                "doc_id": pd.Series(np.cumsum(ids), dtype="Int64").where(pd.Series(with_id)), "held_out": ~train,
+                "n_tokens": found.astype(np.int64), "n_known": known.astype(np.int64), "train_tokens": tokens,
+                "base_score": plain, "score": score, "perplexity": 10 ** (-score / found),
+            }
         )
+
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, perplexity double"
     )
+    # a block is named by its first row
+    return parts.mapInPandas(work, "block long, data binary").groupBy("block").applyInPandas(added, schema)
 
 
 def _frequent_words(keyed: DataFrame, chars: int, parts: int, sample_chars: int) -> np.ndarray:
@@ -402,7 +406,8 @@ def score_texts(
     """
     keyed = keyed_text(docs, key, text).withColumn("row", F.monotonically_increasing_id())
     chars = keyed.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    parts = max(1, -(-chars // _PART_CHARS))
+    # at least four tasks for each core, more where the texts ask for it
+    parts = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-chars // _PART_CHARS))
     hot = _frequent_words(keyed, chars, parts, sample_chars)
     merged = durable(_merged(_counted(keyed, hot, parts, modulus, held)))
     return _scored(merged, _totals(merged, hot), hot, seed, burn, samples, strength)
