@@ -91,21 +91,18 @@ def apply_medians(df: DataFrame, medians: Mapping[str, float | None]) -> DataFra
 # -- indicator columns --------------------------------------------------------
 
 
-def fit_categories(
-    df: DataFrame, columns: Sequence[str], limit: int = 10_000
-) -> dict[str, list]:
-    """Sorted distinct values per column.
+def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct known values per column, all columns in one pass.
 
-    Indicator columns are only sensible for short lists: more than `limit`
-    values are an error (use `fit_labels`), never cut.
+    The lists are the encoder's fitted state, so they are gathered whole. Distinct
+    values are collected inside each task before they meet.
     """
-    out = {}
-    for c in columns:
-        rows = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} values: use ordinal codes")
-        out[c] = sorted(r[0] for r in rows)
-    return out
+    if not columns:
+        return {}
+    row = df.agg(
+        *[F.sort_array(F.collect_set(c)).alias(f"_{i}") for i, c in enumerate(columns)]
+    ).first()
+    return {c: list(row[f"_{i}"]) for i, c in enumerate(columns)}
 
 
 def one_hot_columns(categories: Mapping[str, Sequence]) -> dict[str, Column]:

@@ -36,8 +36,6 @@ def test_indicators_drop_the_first_and_ignore_unknown(spark):
     assert rows(got, "c", "c_b", "c_c") == [
         (None, 0.0, 0.0), ("a", 0.0, 0.0), ("c", 0.0, 1.0), ("zz", 0.0, 0.0),
     ]
-    with pytest.raises(ValueError):
-        encode.fit_categories(train, ["c"], limit=2)
 
 
 def test_metrics(spark):
@@ -146,3 +144,14 @@ def test_attribution_adds_up(spark):
     total = cells.groupBy("id").agg(F.sum("attribution").alias("s"))
     assert rows(total, "id", "s") == [(1, -4.0), (2, 4.0)]
     assert rows(explain.attribution_ranking(cells), "feature", "importance") == [("a", 2.0), ("b", 2.0)]
+
+
+def test_twenty_thousand_categories(spark):
+    df = spark.range(20_000).selectExpr("'c' || id AS c", "id % 7 * 1.0D AS x", "id % 3 * 1.0D AS y")
+    assert len(encode.fit_categories(df, ["c"])["c"]) == 20_000
+    small = spark.range(600).selectExpr("'c' || id AS c", "id % 2 * 1.0D AS x")
+    model = models.PanelFeatures(numericCols=["x"], textCols=["c"]).fit(small)
+    vectors = [r["features"] for r in model.transform(small.limit(3)).collect()]
+    assert all(v.size == 600 for v in vectors) and len(model.feature_names()) == 600
+    unknown = model.transform(small.limit(1).selectExpr("'other' AS c", "x")).first()["features"]
+    assert max(unknown[1:]) < 0
