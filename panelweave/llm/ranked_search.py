@@ -32,7 +32,7 @@ BLOCK = 64  # documents of a block
 _WORD = re.compile(r"\w+")
 _PIECE_CHARS = 4_000_000
 _SHARD_CHARS = 32_000_000
-_QUERY_TERMS = 1_000_000  # terms of the queries sent to the shards at once
+_QUERY_TERMS = 500_000  # terms of the queries sent to the shards at once
 
 
 def _terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
