@@ -47,7 +47,7 @@ EXACT = 96  # customers of a dish up to which the Stirling numbers are tabled
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word is white space
 _BEGIN = xxhash.xxh3_64_intdigest(b"\n\n") % CONTEXTS
 _BLOCK_CHARS = 3_000_000
-_PART_CHARS = 24_000_000
+_PART_CHARS = 16_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -131,17 +131,27 @@ def _merged(sent: DataFrame) -> DataFrame:
     """One row for each part: its pairs with their training counts, and the entries of all blocks."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        part, blocks = int(rows["part"].iloc[0]), [load(d) for d in rows["data"]]
-        w, place = np.unique(np.concatenate([b[0] for b in blocks]), return_inverse=True)
-        key = place.astype(np.int64) * CONTEXTS + np.concatenate([b[1] for b in blocks])
-        key, pair = np.unique(key, return_inverse=True)
-        trained = np.bincount(pair, weights=np.concatenate([b[2] for b in blocks]), minlength=len(key)).astype(np.uint32)
+        part, sent_ = int(rows["part"].iloc[0]), rows["data"].tolist()
+        del rows
+        # only the pairs of all blocks are held at once; entries are read block by block
+        columns = [load(d, 3) for d in sent_]
+        sizes = [len(c[0]) for c in columns]
+        context, trained = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
+        w, place = np.unique(np.concatenate([c[0] for c in columns]), return_inverse=True)
+        del columns
+        place *= CONTEXTS
+        place += context
+        del context
+        key, pair = np.unique(place, return_inverse=True)
+        del place
+        pair = pair.astype(np.int32)
+        trained = np.bincount(pair, weights=trained, minlength=len(key)).astype(np.uint32)
         pairs = dump(w, np.bincount(key // CONTEXTS, minlength=len(w)).astype(np.uint32), (key % CONTEXTS).astype(np.uint16), trained)
+        del w, key, trained
         entries, at = [], 0
-        for b in blocks:
-            own = pair[at : at + len(b[0])].astype(np.int64)
-            at += len(b[0])
-            data = dump(np.diff(own, prepend=0).astype(np.int32), b[3], b[4], b[5], *b[6:])
+        for d, size in zip(sent_, sizes):
+            own, at = pair[at : at + size], at + size
+            data = dump(np.diff(own, prepend=np.int32(0)).astype(np.int32), *load(d)[3:])
             entries.append(struct.pack("<Q", len(data)) + data)
         return pd.DataFrame({"part": [part], "pairs": [pairs], "entries": [b"".join(entries)]})
 
