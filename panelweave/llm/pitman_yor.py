@@ -1,7 +1,7 @@
 """Hierarchical Pitman-Yor language model: Gibbs-sampled seating, averaged predictions.
 
-A word is a customer of the restaurant of its context (a hash of the word before
-it, so their number is bounded); all restaurants share one parent, the unigram
+A word is a customer of the restaurant of its context (the word before it, told
+apart by its full 64-bit hash); all restaurants share one parent, the unigram
 restaurant, whose base is uniform over the words and one unknown word. A table of
 a restaurant is a customer of the parent. The predictive probability is
 
@@ -19,10 +19,15 @@ numbers up to EXACT customers and from their saddle-point form beyond.
 Spark's part: each block of texts sends its (word, context, document) counts,
 packed as columns, to the partition of the word, so all a dish needs is in one
 task; words that make up much of the corpus are dealt by word and context instead,
-so no task holds one. What a task needs of others, the totals of the bounded set
-of restaurants and of the frequent words, is summed in one pass before sampling
-and then moved in proportion to the task's own share. Each task returns a packed
-column of sums for the documents of each block, and these are added up.
+so no task holds one. The restaurants are a table that grows with the corpus,
+dealt by ranges of the context's hash into shards: before the first sweep each part
+is told the customers and dishes of its contexts, and after every sweep the parts
+send their tables by context and are told the sums over all parts. Only the
+tables of the frequent words and the overall sums pass through the driver. Parts
+sample at the same time, each given all tables of the sweep before, so each
+averaged prediction sums to one over the words. The number of parts depends on
+the texts alone. Each task returns a packed column of sums for the documents of
+each block, and these are added up.
 """
 
 from __future__ import annotations
@@ -42,12 +47,12 @@ from panelweave.lineage import durable
 from panelweave.llm.packed import dump, load
 from panelweave.llm.texts import keyed_text, py_remainder
 
-CONTEXTS = 4096
 EXACT = 96  # customers of a dish up to which the Stirling numbers are tabled
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word is white space
-_BEGIN = xxhash.xxh3_64_intdigest(b"\n\n") % CONTEXTS
+_BEGIN = xxhash.xxh3_64_intdigest(b"\n\n")
 _BLOCK_CHARS = 3_000_000
 _PART_CHARS = 16_000_000
+_PARTS = 32  # at least, on few texts
 
 
 def words_of(text: str) -> list[bytes]:
@@ -56,7 +61,7 @@ def words_of(text: str) -> list[bytes]:
 
 
 def _mix(w: np.ndarray, context: np.ndarray) -> np.ndarray:
-    x = (w ^ context.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (w ^ context * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ x >> np.uint64(31)
 
 
@@ -80,7 +85,7 @@ def _block(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code, distinct = pd.factorize(np.array(words, dtype=object))
     del words
     w = np.array([xxhash.xxh3_64_intdigest(x) for x in distinct], np.uint64)[code]
-    context = np.concatenate([[_BEGIN], w[:-1] % np.uint64(CONTEXTS)]).astype(np.uint16)
+    context = np.concatenate([np.array([_BEGIN], np.uint64), w[:-1]])
     context[np.cumsum(sizes)[:-1]] = _BEGIN
     return w, context, np.repeat(np.arange(len(texts), dtype=np.uint32), sizes)
 
@@ -137,17 +142,21 @@ def _merged(sent: DataFrame) -> DataFrame:
         columns = [load(d, 3) for d in sent_]
         sizes = [len(c[0]) for c in columns]
         context, trained = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
-        w, place = np.unique(np.concatenate([c[0] for c in columns]), return_inverse=True)
+        words = np.concatenate([c[0] for c in columns])
         del columns
-        place *= CONTEXTS
-        place += context
-        del context
-        key, pair = np.unique(place, return_inverse=True)
-        del place
-        pair = pair.astype(np.int32)
-        trained = np.bincount(pair, weights=trained, minlength=len(key)).astype(np.uint32)
-        pairs = dump(w, np.bincount(key // CONTEXTS, minlength=len(w)).astype(np.uint32), (key % CONTEXTS).astype(np.uint16), trained)
-        del w, key, trained
+        order = np.lexsort((context, words))
+        words, context = words[order], context[order]
+        new_word = np.ones(len(words), bool)
+        new_word[1:] = words[1:] != words[:-1]
+        new = new_word.copy()
+        new[1:] |= context[1:] != context[:-1]
+        pair = np.empty(len(words), np.int32)
+        pair[order] = np.cumsum(new) - 1
+        del order
+        trained = np.bincount(pair, weights=trained).astype(np.uint32)
+        sizes_ = np.diff(np.append(np.flatnonzero(new_word[new]), new.sum())).astype(np.uint32)
+        pairs = dump(words[new_word], sizes_, context[new], trained)
+        del words, context, new, new_word, trained
         entries, at = [], 0
         for d, size in zip(sent_, sizes):
             own, at = pair[at : at + size], at + size
@@ -159,25 +168,18 @@ def _merged(sent: DataFrame) -> DataFrame:
 
 
 def _totals(parts: DataFrame, hot: np.ndarray) -> dict[tuple[str, int], list[int]]:
-    """Sums over all parts: by context, by frequent word, and overall. Bounded by their number."""
+    """Sums over all parts: by frequent word, and overall. Bounded by their number."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for value in batch["pairs"]:
-                w, sizes, context, c = load(value)
+                w, sizes, _, c = load(value)
                 word = np.repeat(np.arange(len(w)), sizes)
                 seen = c > 0
                 tokens = np.bincount(word, weights=c, minlength=len(w)).astype(np.int64)
                 dishes = np.bincount(word[seen], minlength=len(w))
-                rows = [
-                    ("context", u, int(a), int(b), 0, 0)
-                    for u, (a, b) in enumerate(
-                        zip(np.bincount(context, weights=c, minlength=CONTEXTS), np.bincount(context[seen], minlength=CONTEXTS))
-                    )
-                    if a
-                ]
                 often = np.isin(w, hot)
-                rows += [("word", int(x) - (1 << 63), int(a), int(b), 0, 0) for x, a, b in zip(w[often], tokens[often], dishes[often])]
+                rows = [("word", int(x) - (1 << 63), int(a), int(b), 0, 0) for x, a, b in zip(w[often], tokens[often], dishes[often])]
                 rows.append(("all", 0, int((c == 1).sum()), int((c == 2).sum()), int(tokens.sum()), int((tokens[~often] > 0).sum())))
                 rows.append(("root", 0, int((dishes[~often] == 1).sum()), int((dishes[~often] == 2).sum()), int(seen.sum()), 0))
                 yield pd.DataFrame(rows, columns=["kind", "id", "a", "b", "c", "d"])
@@ -189,6 +191,50 @@ def _totals(parts: DataFrame, hot: np.ndarray) -> dict[tuple[str, int], list[int
     return {(r["kind"], r["id"]): [r[x] for x in "abcd"] for r in summed.collect()}
 
 
+def _messages(part: int, shards: int, u: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(part, shard, data) for each shard that has some of the sorted contexts u."""
+    bounds = np.searchsorted(u, np.array([(k << 64) // shards for k in range(shards)], np.uint64)).tolist() + [len(u)]
+    for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        if lo < hi:
+            yield part, k, dump(u[lo:hi], *[c[lo:hi] for c in columns])
+
+
+def _exchanged(sent: DataFrame) -> DataFrame:
+    """Rows (part, shard, data): the sums over all parts of what they sent by context, in the order each sent it."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        columns = [load(d) for d in rows["data"]]
+        u, at = np.unique(np.concatenate([c[0] for c in columns]), return_inverse=True)
+        sums = [
+            np.bincount(at, weights=np.concatenate([c[i] for c in columns]), minlength=len(u)).astype(np.int64)
+            for i in range(1, len(columns[0]))
+        ]
+        own = np.split(at, np.cumsum([len(c[0]) for c in columns])[:-1])
+        return pd.DataFrame({"part": rows["part"], "shard": rows["shard"], "data": [dump(*[x[a] for x in sums]) for a in own]})
+
+    return sent.groupBy("shard").applyInPandas(work, "part int, shard int, data binary")
+
+
+def _received(rows: pd.DataFrame, columns: int) -> list[np.ndarray]:
+    """Sums for all contexts of a part, from the answers of all shards."""
+    loaded = [load(d) for d in rows.sort_values("shard")["data"]]
+    return [np.concatenate([x[i] for x in loaded]) if loaded else np.empty(0, np.int64) for i in range(columns)]
+
+
+def _restaurants(parts: DataFrame, shards: int) -> DataFrame:
+    """Rows (part, shard, data): customers, dishes and dishes with several customers in one part, of its contexts."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part, pairs in zip(batch["part"], batch["pairs"]):
+                _, _, context, c = load(pairs)
+                u, at = np.unique(context, return_inverse=True)
+                sums = [np.bincount(at, weights=x, minlength=len(u)).astype(np.int64) for x in (c, c > 0, c > 1)]
+                yield pd.DataFrame(list(_messages(int(part), shards, u, *sums)), columns=["part", "shard", "data"])
+
+    return _exchanged(parts.select("part", "pairs").mapInPandas(work, "part int, shard int, data binary"))
+
+
 def _lgamma(z: np.ndarray) -> np.ndarray:
     """Stirling's series after a shift by 8."""
     shift = np.ones_like(z)
@@ -286,73 +332,166 @@ def _discount(one: int, two: int) -> float:
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
+_SWEEP = "kind string, part int, shard int, id long, n long, data binary"
+
+
+def _rows(kind: str, rows) -> pd.DataFrame:
+    """Rows of _SWEEP from (part, shard, id, n, data)."""
+    out = pd.DataFrame(list(rows), columns=["part", "shard", "id", "n", "data"])
+    out.insert(0, "kind", kind)
+    return out
+
+
+def _sampled(
+    parts: DataFrame, restaurants: DataFrame, totals: dict, hot: np.ndarray, seed: int, sweeps: int, burn: int,
+    strength: float, d1: float, d0: float, vocabulary: int, shards: int,
+) -> list[DataFrame]:
+    """Rows (part, data) of each sample: tables of the pairs with several customers, probabilities of words in
+    the root, tables of the contexts that have such pairs."""
+    base = 1 / (vocabulary + 1)
+    hot = np.sort(hot)
+    # what the driver knows: all root customers and tables, those of each frequent word
+    root_all, root_tables = totals.get(("root", 0), [0] * 4)[2], vocabulary
+    hot_c = np.array([totals.get(("word", int(x) - (1 << 63)), [0] * 4)[1] for x in hot], np.int64)
+    hot_t = np.minimum(hot_c, 1)
+
+    def first(key, pairs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if not len(pairs):
+            return _rows("state", [])
+        w, sizes, context, c = load(pairs["pairs"].iloc[0])
+        _, dishes, several = _received(answers, 3)
+        word = np.repeat(np.arange(len(w), dtype=np.uint32), sizes)
+        u, at = np.unique(context, return_inverse=True)
+        live, on = several > 0, c > 1
+        place = (np.cumsum(live) - 1).astype(np.uint32)
+        alone = np.bincount(word[c == 1], minlength=len(w)).astype(np.uint32)
+        index = np.searchsorted(hot, w) if len(hot) else np.zeros(len(w), np.int64)
+        often = np.where(np.isin(w, hot), index, -1).astype(np.int32)
+        single = np.bincount(at[c == 1], minlength=len(u)).astype(np.uint32)[live]
+        least = alone + np.bincount(word[on], minlength=len(w))
+        fixed = dump(word[on], place[at[on]], c[on], alone, often, u[live], single)
+        state = dump(np.ones(int(on.sum()), np.uint32), np.minimum(least, 1).astype(np.uint32))
+        part = int(key[0])
+        return pd.concat([
+            _rows("state", [(part, 0, 0, 0, struct.pack("<Q", len(fixed)) + fixed + state)]),
+            _rows("tables", [(part, 0, 0, 0, dump(dishes[live]))]),
+        ])
+
+    def sweep(number: int, root_all: int, root_tables: int, hot_c: np.ndarray, hot_t: np.ndarray):
+        def work(key, states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            part = int(key[0])
+            if not len(states):
+                return _rows("state", [])
+            value = states["data"].iloc[0]
+            (size,) = struct.unpack_from("<Q", value)
+            fixed = value[: 8 + size]
+            word, place, c, alone, often, u, single = load(fixed[8:])
+            t, root_t = load(value[8 + size :])
+            (tables,) = _received(answers, 1)
+            by_driver = often >= 0
+            root_c = alone + np.bincount(word, weights=t, minlength=len(alone))
+            root_c[by_driver], root_t = hot_c[often[by_driver]], root_t.astype(float)
+            root_t[by_driver] = hot_t[often[by_driver]]
+            new_root = strength + d0 * root_tables
+            p = (np.maximum(root_c - d0 * root_t, 0) + new_root * base) / (strength + root_all)
+            out = []
+            if number > burn:
+                out.append(_rows("sample", [(part, 0, 0, 0, dump(t, p, tables))]))
+            if number < sweeps:
+                rng = np.random.default_rng([seed, part, number])
+                t = seat(c.astype(np.int64), (strength + d1 * tables)[place] * p[word], d1, rng).astype(np.uint32)
+                own = np.bincount(word, weights=t, minlength=len(alone)) + alone
+                root_t, on = np.minimum(own, 1), np.flatnonzero((own > 1) & ~by_driver)
+                root_t[on] = seat(np.rint(own[on]).astype(np.int64), np.full(len(on), new_root * base), d0, rng)
+                state = fixed + dump(t, root_t.astype(np.uint32))
+                sent = single + np.bincount(place, weights=t, minlength=len(u)).astype(np.int64)
+                sums = [(part, 0, -1, int(own.sum())), (part, 0, -2, int(root_t[~by_driver].sum()))]
+                sums += [(part, 0, int(i), int(n)) for i, n in zip(often[by_driver], own[by_driver])]
+                out.append(_rows("state", [(part, 0, 0, 0, state)]))
+                out.append(_rows("sent", [(a, k, 0, 0, d) for a, k, d in _messages(part, shards, u, sent)]))
+                out.append(_rows("sum", [(*x, None) for x in sums]))
+            return pd.concat(out)
+
+        return work
+
+    at = durable(
+        parts.select("part", "pairs").groupBy("part").cogroup(restaurants.groupBy("part")).applyInPandas(first, _SWEEP)
+    )
+    answers = at.filter("kind = 'tables'").select("part", "shard", "data")
+    samples = []
+    for number in range(sweeps + 1):
+        states = at.filter("kind = 'state'").select("part", "data")
+        at = durable(
+            states.groupBy("part").cogroup(answers.groupBy("part"))
+            .applyInPandas(sweep(number, root_all, root_tables, hot_c, hot_t), _SWEEP)
+        )
+        if number > burn:
+            samples.append(at.filter("kind = 'sample'").select("part", "data"))
+        if number < sweeps:
+            sums = {r["id"]: r["n"] for r in at.filter("kind = 'sum'").groupBy("id").agg(F.sum("n").alias("n")).collect()}
+            new_root = strength + d0 * root_tables
+            hot_c = np.array([sums.get(i, 0) for i in range(len(hot))], np.int64)
+            hot_t = np.minimum(hot_c, 1)
+            on = np.flatnonzero(hot_c > 1)
+            rng = np.random.default_rng([seed, 1 << 31, number])
+            hot_t[on] = seat(hot_c[on], np.full(len(on), new_root * base), d0, rng)
+            root_all, root_tables = sums.get(-1, 0), sums.get(-2, 0) + int(hot_t.sum())
+            answers = _exchanged(at.filter("kind = 'sent'").select("part", "shard", "data"))
+    return samples
+
+
 def _scored(
-    parts: DataFrame, totals: dict, hot: np.ndarray, seed: int, burn: int, samples: int, strength: float
+    parts: DataFrame, totals: dict, hot: np.ndarray, seed: int, burn: int, samples: int, strength: float, shards: int
 ) -> DataFrame:
     ones, twos, tokens, vocabulary = totals.get(("all", 0), [0] * 4)
-    root_ones, root_twos, dishes_all, _ = totals.get(("root", 0), [0] * 4)
+    root_ones, root_twos, _, _ = totals.get(("root", 0), [0] * 4)
     frequent = {k[1]: v for k, v in totals.items() if k[0] == "word"}
     vocabulary += sum(v[0] > 0 for v in frequent.values())
     d1, d0 = _discount(ones, twos), _discount(root_ones, root_twos)
-    customers, dishes = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for (kind, u), (a, b, _, _) in totals.items():
-        if kind == "context":
-            customers[u], dishes[u] = a, b
-    base = 1 / (vocabulary + 1)
+    restaurants = durable(_restaurants(parts, shards))
+    kept = _sampled(
+        parts, restaurants, totals, hot, seed, burn + samples, burn, strength, d1, d0, vocabulary, shards
+    )
+    known_ = restaurants.select("part", "shard", "data")
+    for x in kept:
+        known_ = known_.unionByName(x.select("part", F.lit(-1).alias("shard"), "data"))
 
-    def predictions(part: int, w, sizes, context, c):
+    def predictions(w, sizes, context, c, known: pd.DataFrame):
         """Averaged probability of each pair, training count of each word."""
-        rng = np.random.default_rng([seed, part])
         word = np.repeat(np.arange(len(w)), sizes)
-        own = np.bincount(word, weights=c, minlength=len(w))
-        seen = c > 0
-        least = np.bincount(word[seen], minlength=len(w)).astype(float)  # tables if each dish has one
-        count, global_least = own.copy(), least.copy()
+        count = np.bincount(word, weights=c, minlength=len(w))
         for i in np.flatnonzero(np.isin(w, hot)).tolist():
-            count[i], global_least[i] = frequent[int(w[i]) - (1 << 63)][:2]
-        local_dishes = np.bincount(context[seen], minlength=CONTEXTS)
-        several = np.flatnonzero(c >= 2)
-        t, root_t = seen.astype(float), (count > 0).astype(float)
-        scale = global_least / np.maximum(least, 1)
+            count[i] = frequent[int(w[i]) - (1 << 63)][0]
+        _, at = np.unique(context, return_inverse=True)
+        customers, tables, several = _received(known[known["shard"] >= 0], 3)
+        t, live, on = (c > 0).astype(float), several > 0, c > 1
         total = np.zeros(len(c))
-        for sweep in range(burn + samples):
-            # totals of the whole corpus, moved as this part's own share has moved
-            sums = np.bincount(context, weights=t, minlength=CONTEXTS)
-            tables_u = dishes * np.where(local_dishes > 0, sums / np.maximum(local_dishes, 1), 1)
-            root_c = np.where(least > 0, np.bincount(word, weights=t, minlength=len(w)) * scale, global_least)
-            root_all = dishes_all * (t.sum() / max(1, seen.sum()))
-            root_tables = vocabulary * (root_t.sum() / max(1, (count > 0).sum()))
-            new_root = strength + d0 * root_tables
-            if sweep:
-                on = np.flatnonzero(root_c >= 2)
-                root_t = (count > 0).astype(float)
-                root_t[on] = seat(np.rint(root_c[on]).astype(np.int64), np.full(len(on), new_root * base), d0, rng)
-            p = (np.maximum(root_c - d0 * root_t, 0) + new_root * base) / (strength + root_all)
-            fresh = strength + d1 * tables_u
-            t[several] = seat(c[several].astype(np.int64), fresh[context[several]] * p[word[several]], d1, rng)
-            if sweep >= burn:
-                total += (np.maximum(c - d1 * t, 0) + fresh[context] * p[word]) / (strength + customers[context])
+        # the samples are added in one order, so that sums do not move
+        for value in sorted(known["data"][known["shard"] < 0]):
+            t[on], p, tables[live] = load(value)
+            total += (np.maximum(c - d1 * t, 0) + (strength + d1 * tables[at]) * p[word]) / (strength + customers[at])
         return total / samples, count, word
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part, pairs, entries in zip(batch["part"], batch["pairs"], batch["entries"]):
-                w, sizes, context, c = load(pairs)
-                p, count, word = predictions(int(part), w, sizes, context, c)
-                score = np.log10(p)
-                plain = np.log10((count + 1) / (tokens + vocabulary + 1))[word]
-                known, at = count[word] > 0, 0
-                while at < len(entries):
-                    (size,) = struct.unpack_from("<Q", entries, at)
-                    pair, own, doc, n, rows, ids, with_id, train = load(entries[at + 8 : at + 8 + size])
-                    at += 8 + size
-                    pair = np.repeat(np.cumsum(pair.astype(np.int64)), own)
-                    total = lambda x: np.bincount(doc, weights=n * x, minlength=len(rows))  # noqa: B023, E731
-                    data = dump(
-                        rows, ids, with_id, train, total(np.ones(len(pair))).astype(np.uint32),
-                        total(known[pair]).astype(np.uint32), total(plain[pair]), total(score[pair]),
-                    )
-                    yield pd.DataFrame({"block": rows[:1], "data": [data]})
+    def work(key, rows_: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for pairs, entries in zip(rows_["pairs"], rows_["entries"]):
+            w, sizes, context, c = load(pairs)
+            p, count, word = predictions(w, sizes, context, c, known)
+            score = np.log10(p)
+            plain = np.log10((count + 1) / (tokens + vocabulary + 1))[word]
+            seen, at = count[word] > 0, 0
+            while at < len(entries):
+                (size,) = struct.unpack_from("<Q", entries, at)
+                pair, own, doc, n, rows, ids, with_id, train = load(entries[at + 8 : at + 8 + size])
+                at += 8 + size
+                pair = np.repeat(np.cumsum(pair.astype(np.int64)), own)
+                total = lambda x: np.bincount(doc, weights=n * x, minlength=len(rows))  # noqa: B023, E731
+                data = dump(
+                    rows, ids, with_id, train, total(np.ones(len(pair))).astype(np.uint32),
+                    total(seen[pair]).astype(np.uint32), total(plain[pair]), total(score[pair]),
+                )
+                out.append((rows[0], data))
+        return pd.DataFrame(out, columns=["block", "data"])
 
     def added(sent: pd.DataFrame) -> pd.DataFrame:
         parts_ = [load(d) for d in sent["data"]]
@@ -371,7 +510,8 @@ def _scored(
         "score double, perplexity double"
     )
     # a block is named by its first row
-    return parts.mapInPandas(work, "block long, data binary").groupBy("block").applyInPandas(added, schema)
+    sent = parts.groupBy("part").cogroup(known_.groupBy("part")).applyInPandas(work, "block long, data binary")
+    return sent.groupBy("block").applyInPandas(added, schema)
 
 
 def _frequent_words(keyed: DataFrame, chars: int, parts: int, sample_chars: int) -> np.ndarray:
@@ -416,8 +556,8 @@ def score_texts(
     """
     keyed = keyed_text(docs, key, text).withColumn("row", F.monotonically_increasing_id())
     chars = keyed.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    # at least four tasks for each core, more where the texts ask for it
-    parts = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-chars // _PART_CHARS))
+    # by the texts alone, so that scores are the same on any number of cores
+    parts = max(_PARTS, -(-chars // _PART_CHARS))
     hot = _frequent_words(keyed, chars, parts, sample_chars)
     merged = durable(_merged(_counted(keyed, hot, parts, modulus, held)))
-    return _scored(merged, _totals(merged, hot), hot, seed, burn, samples, strength)
+    return _scored(merged, _totals(merged, hot), hot, seed, burn, samples, strength, parts)

@@ -87,6 +87,25 @@ def test_unknown_words_are_less_likely(spark):
     assert score["unknown"] < min(score[w] for w in known) and sum(10 ** score[w] for w in known) < 1
 
 
+def test_contexts_have_restaurants_of_their_own(spark):
+    import xxhash
+
+    seen: dict[int, str] = {}
+    for i in range(10_000):  # two words whose hashes agree in their last twelve bits
+        low = xxhash.xxh3_64_intdigest(f"w{i}".encode()) % 4096
+        if low in seen:
+            break
+        seen[low] = f"w{i}"
+    a, b = seen[low], f"w{i}"
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = [(i, (f"{a} x", f"{b} y")[k % 2]) for k, i in enumerate(train)] + list(zip(held, [f"{a} x", f"{a} y", f"{b} x", f"{b} y"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = pitman_yor.score_texts(df).join(df, "doc_id").filter("held_out").collect()
+    score = {r.text: r.score for r in out}
+    assert score[f"{a} x"] > score[f"{a} y"] + 1.5 and score[f"{b} y"] > score[f"{b} x"] + 1.5
+
+
 def test_base_spans_are_the_patterns():
     rng = random.Random(1)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
