@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; a missing `lang` is filled with the predicted one."""
+    """Documents in a learned language; the predicted one replaces a `lang` that is missing or contradicted."""
     return keep_known(docs, fit_prototypes(docs))
 
 
