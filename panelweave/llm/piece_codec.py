@@ -4,12 +4,13 @@ A text is encoded as the model's own merges would: the best-scored adjacent pair
 is merged first, taken from an agenda. With dropout, each candidate merge on the
 agenda is skipped if its bit of a keyed hash is set, at the dropout rate, so repeated
 words get varied segmentations, all of them sequences of the model's pieces that
-decode to the same text. The key is made of the seed, the document and the place
-of the word, so results do not depend on partitions or retries.
+decode to the same text. The key is made of the seed, the document, the place of
+the word and the word, so results do not depend on partitions or retries.
 
 No piece reaches over the beginning of a word, so words are encoded one by one.
-The hash of document and place picks one of `variants` keys; a task segments each
-distinct (word, key) of a batch once and copies the ids to where it stands.
+Every occurrence has bits of its own. Where none of its first merges is skipped the
+model's own segmentation holds, found once for each word; a word with the same bits
+at all its candidates is segmented once in a batch, which gives the same ids.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ _NONE = float("-inf")
 _SHORT = 48  # characters up to which a word's agenda is a plain list
 _CHARS = 2_000_000  # characters of texts encoded at once
 _KNOWN = 200_000  # words whose segmentation without skips a worker remembers
+_VARIED = 100_000  # short words with skips it remembers beside them
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,6 +73,7 @@ class PieceCodec:
         self.score: dict[str, float] = {}
         self.table: list[bytes] = []
         self.known: dict[str, list[int]] = {}  # segmentations without skips
+        self.varied: dict[tuple[str, int], list[int]] = {}  # segmentations with skips
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -167,8 +170,13 @@ class PieceCodec:
         keys = np.uint64(key) + np.arange(count, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         return int.from_bytes(skip_bits(keys, dropout).tobytes(), "little")
 
-    def encode(self, texts: list[str], keys: list[int], dropout: float, seed: int, variants: int) -> list[np.ndarray]:
-        """Ids of each text; keys: one number for each text that its hashes depend on."""
+    def encode(
+        self, texts: list[str], keys: list[int], dropout: float, seed: int, variants: int | None = None
+    ) -> list[np.ndarray]:
+        """Ids of each text; keys: one number for each text that its hashes depend on.
+
+        variants  number of keys by document and place, if they are to be so few; by default each place has its own
+        """
         words, sizes = [], []
         for t in texts:
             own = self.words(t) if t else []
@@ -178,35 +186,58 @@ class PieceCodec:
             return [np.empty(0, np.int32) for _ in texts]
         distinct = list(dict.fromkeys(words))
         number = {w: i for i, w in enumerate(distinct)}
-        code = np.array(list(map(number.__getitem__, words)))
+        at = np.array(list(map(number.__getitem__, words)))
+        varied: list[list[int]] = []
+        plain = np.ones(len(words), bool)
         if dropout:
             sizes_ = np.array(sizes)
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes_) - sizes_, sizes_)
             key = np.repeat(np.array([k & _MASK for k in keys], np.uint64), sizes_)
             key = _mixed(_mixed(key ^ np.uint64(seed & _MASK)) + place.astype(np.uint64))
-            code = code * variants + (key % np.uint64(variants)).astype(np.int64)
-        else:
-            variants = 1
-        wanted, at = np.unique(code, return_inverse=True)
-        pieces, known = [], self.known
-        if dropout:
+            if variants:
+                key %= np.uint64(variants)
             hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], np.uint64)
-            word_keys = _mixed(hashed[wanted // variants] + np.uint64(seed & _MASK)) + (wanted % variants).astype(np.uint64)
-            skips, word_keys = skip_bits(word_keys, dropout).tolist(), word_keys.tolist()
-        todo = []
-        for i, c in enumerate(wanted.tolist()):
-            word, bits = distinct[c // variants], 0
-            if dropout:
-                # fewer than len(word) candidates leave the agenda before one is skipped
-                n = len(word)
-                bits = skips[i] if n <= 21 else self._skips(word_keys[i], word, dropout)
-                bits = bits if bits & (1 << n - 1) - 1 else 0
-            todo.append((word, bits))
-        whole = list({w for w, bits in todo if not bits and w not in known and len(w) > 1 and w[0] == _SPACE and "\0" not in w})
+            key = _mixed(_mixed(hashed + np.uint64(seed & _MASK))[at] + key)
+            length = np.array([len(w) for w in distinct])[at]
+            bits = skip_bits(key, dropout)
+            # fewer than len(word) candidates leave the agenda before one is skipped, fewer than 3 len(word) - 2 at all
+            ones = lambda n: (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
+            short = length <= 21
+            plain = (bits & ones(np.minimum(length, 64) - 1)) == 0
+            plain[length > 64] = False
+            bits = np.where(short, bits & ones(np.minimum(3 * (length - 1), 63)), bits)
+            rest = np.flatnonzero(~plain)
+            begun: dict[tuple[str, int], list[int]] = {}
+            of: dict[int, int] = {}  # place in `varied` of a segmentation, by identity
+            index = np.empty(len(rest), np.int64)
+            for j, (i, own, fits, k) in enumerate(zip(rest.tolist(), bits[rest].tolist(), short[rest].tolist(), key[rest].tolist())):
+                word = words[i]
+                if not fits:
+                    own = self._skips(k, word, dropout)
+                ids = begun.get((word, own)) or self.varied.get((word, own))
+                if ids is None:
+                    ids = begun[word, own] = self.segment(word, own)
+                    if len(self.varied) < _VARIED and len(word) <= 8:
+                        self.varied[word, own] = ids
+                n = of.get(id(ids))
+                if n is None:
+                    n = of[id(ids)] = len(varied)
+                    varied.append(ids)
+                index[j] = n
+            at[rest] = len(distinct) + index
+        needed = np.zeros(len(distinct), bool)
+        needed[at[plain]] = True
+        known = self.known
+        whole = [
+            w for w, n in zip(distinct, needed.tolist())
+            if n and w not in known and len(w) > 1 and w[0] == _SPACE and "\0" not in w
+        ]
         found = dict(zip(whole, self.model.encode([w[1:].replace(_SPACE, " ") for w in whole], num_threads=1)))
-        for word, bits in todo:
-            own = None if bits else known.get(word) or found.get(word)
-            pieces.append(self.segment(word, bits) if own is None else own)
+        pieces = []
+        for word, n in zip(distinct, needed.tolist()):
+            own = (known.get(word) or found.get(word)) if n else []
+            pieces.append(self.segment(word) if own is None else own)
+        pieces += varied
         if len(known) < _KNOWN:
             known.update((w, ids) for w, ids in found.items() if len(w) <= _SHORT)
         lengths = np.array([len(p) for p in pieces])
@@ -228,7 +259,7 @@ def _codec(path: str) -> PieceCodec:
 
 
 def _encoded(
-    codec: PieceCodec, batches: Iterator[pd.DataFrame], dropout: float, seed: int, variants: int
+    codec: PieceCodec, batches: Iterator[pd.DataFrame], dropout: float, seed: int, variants: int | None
 ) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     for batch in batches:
         sizes = batch["text"].str.len().cumsum() // _CHARS
@@ -238,13 +269,13 @@ def _encoded(
 
 
 def encode_texts(
-    docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int = 4,
+    docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int | None = None,
     key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """doc_id, text, ids of every row.
 
     dropout   rate at which candidate merges are skipped; 0 gives the model's own encoding
-    variants  number of segmentations a word can have, picked by document and place
+    variants  number of keys by document and place, if they are to be so few; by default each place has its own
 
     A missing or empty text has no ids. Repeated rows have the same ids. Further
     columns are not read.
@@ -272,7 +303,7 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
 
 def round_trip(
-    docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int = 4, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 7, variants: int | None = None, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_ids, ids_hash, decoded_sha256, lossless of every row: texts are encoded and decoded in one pass."""
 

@@ -183,6 +183,22 @@ def test_codec_matches_the_model_and_decodes(texts):
     assert np.unpackbits(bits.view(np.uint8)).mean() == pytest.approx(0.1, abs=0.005)
 
 
+def test_every_occurrence_has_skips_of_its_own():
+    codec = piece_codec.PieceCodec(PATH("piece_bpe_32k.model"))
+    word = "internationalization"
+    texts = [" ".join([word] * 200)] * 2
+    found = codec.encode(texts, [1, 2], 0.3, 7)
+    assert [codec.decode(x) for x in found] == texts
+    of = lambda n: Counter(tuple(codec.encode([f"{'a ' * k}{word}"], [5], 0.3, 7)[0].tolist()[-n:]) for k in range(300))
+    assert len(of(6)) > 20 and found[0].tolist() != found[1].tolist()
+    long = [f"{'x' * 70} {word * 5} {'b' * 30}", "z" * 64 + " " + "y" * 65]
+    assert [codec.decode(x) for x in codec.encode(long, [3, 4], 0.3, 7)] == long
+    agenda = [w for w in codec.words(" ".join([word, "the", "of"] * 50))]
+    for i, (w, k) in enumerate(zip(agenda, range(1, len(agenda) + 1))):
+        low = k & (1 << 3 * (len(w) - 1)) - 1
+        assert codec.segment(w, low) == codec.segment(w, low | 1 << 3 * (len(w) - 1))
+
+
 @pytest.mark.parametrize("chunk", [256, 3])
 def test_links_and_groups_by_brute_force(spark, docs, texts, chunk):
     base = "one two three four five six seven eight nine ten " * 6
