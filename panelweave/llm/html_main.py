@@ -4,8 +4,9 @@ The markup is stripped to lines, one for each block. The lengths of the lines
 are summed over a sliding window; the text begins where that sum surges and ends
 where it dives to nothing. Containers that never hold an article (menus,
 footers, adverts, forms, comments ...) become empty lines, and so do lines made
-of links, so that the distribution falls to nothing there. Where the page marks
-its article, lines outside of it are empty as well.
+of links, so that the distribution falls to nothing there. All lines of a page take
+part. An article or main only adds weight, and only if it holds half of the page's
+text: its lines count twice, and its lines of links count as text.
 """
 
 from __future__ import annotations
@@ -32,10 +33,16 @@ _TAG = re.compile(
 )
 _HINT = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu\w*"
+    r"ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu\w*"
     r"|breadcrumbs?|sidebar|complementary|footer|contentinfo|masthead|cookies?|consent|notice|alert|popup"
     r"|modal|newsletter|subscribe|share|sharing|social|related|recommended|comments?|disqus|replies"
-    r"|login|signup|search|toolbar|pagination|pager|skip)(?=$|[\s_-])",
+    r"|login|signup|search|toolbar|pagination|pager|skip",
+    re.I,
+)
+# a class of several parts names a side container only if its other parts are of these: has-sidebar does not
+_PLACE = re.compile(
+    r"site|page|main|global|primary|secondary|top|bottom|left|right|post|list|box|bar|block|area|section|container"
+    r"|wrapper|wrap|inner|item|items|link|links|widget|slot|unit|form|header|\d+",
     re.I,
 )
 _BLOCKS = frozenset(
@@ -44,7 +51,7 @@ _BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 _SKIPPED = frozenset("nav footer aside form button select dialog menu fieldset".split())
-_HINTED = frozenset("div section ul ol dl p table tr td aside span header".split())
+_HINTED = frozenset("article div section ul ol dl p table tr td aside span header".split())
 _MAIN = frozenset("article main".split())
 
 
@@ -59,12 +66,19 @@ def _closing(tags: list[tuple], at: int) -> int | None:
     return None
 
 
+def _side_token(token: str) -> bool:
+    if _SIDE.fullmatch(token):
+        return True
+    rest = [x for x in re.split("[_-]+", token) if x and not _PLACE.fullmatch(x)]
+    return bool(rest) and all(_SIDE.fullmatch(x) for x in rest)
+
+
 def _side(name: str, attributes: str, inside: bool) -> bool:
     if name in _SKIPPED or name == "header" and not inside:
         return True
     if name not in _HINTED or "=" not in attributes:
         return False
-    return any(_SIDE.search(" ".join(filter(None, m.groups()))) for m in _HINT.finditer(attributes))
+    return any(_side_token(t) for m in _HINT.finditer(attributes) for t in " ".join(filter(None, m.groups())).split())
 
 
 def page_lines(source: str) -> list[tuple[str, int, bool]]:
@@ -128,17 +142,18 @@ def main_text(source: str | None, window: int = 3, surge: int = 80, plain: float
     """Text between the surges and dives of the line-block distribution.
 
     window  lines whose lengths are summed
-    surge   sum at which a run of lines counts as text where no article is marked;
-            if no run gets there, the run with the most text counts
+    surge   sum at which a run of lines counts as text; if no run gets there, the
+            run with the most text counts
     plain   least part of a line outside of links, else the line is empty
     """
     if not source:
         return ""
     lines = page_lines(source)
-    marked = any(inside for text, _, inside in lines if text)
+    own_lengths = [n if text and n >= plain * len(text) else 0 for text, n, _ in lines]
+    within = sum(n for n, line in zip(own_lengths, lines) if line[2])
+    weighs = 2 * within >= sum(own_lengths)
     lengths = [
-        len(text) if text and (inside if marked else own >= plain * len(text)) else 0
-        for text, own, inside in lines
+        2 * len(text) if inside and weighs else len(text) if n else 0 for n, (text, _, inside) in zip(own_lengths, lines)
     ]
     runs: list[tuple[int, int, int]] = []  # first line, line after the last, highest sum of a window
     begin, highest, total = None, 0, 0
@@ -153,7 +168,7 @@ def main_text(source: str | None, window: int = 3, surge: int = 80, plain: float
                 begin, total = None, 0
     if not runs:
         return ""
-    least = 1 if marked else min(surge, max(r[2] for r in runs))
+    least = min(surge, max(r[2] for r in runs))
     return "\n".join(lines[i][0] for a, b, high in runs if high >= least for i in range(a, b))
 
 

@@ -322,3 +322,18 @@ def test_main_text_between_boilerplate():
     )
     want = "Head & line\nFirst paragraph goes on with quite a lot of words in it.\nSecond one, also long enough to count as text in a page.\nUnclosed"
     assert html_main.main_text(page) == want
+
+
+def test_main_text_is_found_by_its_lines():
+    body = "<p>A first paragraph of the story that is long enough to count as text of the page, by far.<p>A second one, which goes on."
+    text = html_main.main_text(f"<div>{body}</div>")
+    assert text.count("\n") == 1
+    teaser = "<div class=ad>x</div><article class=card><p>Short teaser</article>"
+    comment = "<article class=comment><p>I disagree with all of this, says a reader at length, and then goes on about it a lot.</article>"
+    for page in (
+        f"<div id=content>{body}</div>{teaser}", f"<div id=content>{body}</div>{comment}",
+        f"<div class='content has-sidebar'>{body}</div>", f"<div class='site no-sidebar'>{body}</div>",
+        f"<nav><a href=/>Home</a></nav><div>{body}</div><div class=site-footer>Some words at the end</div>",
+        f"<article>{body}</article><div class='ad'>x</div><p>All rights reserved",
+    ):
+        assert html_main.main_text(page) == text, page
