@@ -6,14 +6,16 @@ paragraphs have equal fingerprints in whatever order, and paragraphs can be
 inserted or deleted by adding or subtracting their vectors (`combine`).
 
 The vector has two parts. Wide lanes (20 bits, three to a long) carry equality.
-Narrow lanes (modulo 2**15, four to a long) add one random bit for each sentence
-of the paragraph; the number of sentences is a lane too. From these sums the
-likeness of two texts follows without the texts: the counts, centred by half the
-number of sentences, are random signs whose cosine estimates the overlap.
+Narrow lanes (30 bits, two to a long, more than any text has sentences) add one
+random bit for each sentence of the paragraph, and for each run of SHINGLE words of a
+sentence of more than LONG words, so that long texts without sentence ends are
+compared too; the number of both is a lane of its own. From these sums the likeness
+of two texts follows without the texts: the counts, centred by half that number, are
+random signs whose cosine estimates the overlap.
 
 Only SQL functions are used. A row's fingerprint is computed inside the row, so
 nothing is shuffled for it; lanes are packed so that one addition of longs adds
-three or four lanes, with guard bits against carries.
+two or three lanes, with guard bits against carries.
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ from panelweave.operators.ordering import with_row_index
 
 WIDE = 22  # longs of three 20-bit lanes
 _WIDE_MASK = sum(((1 << 20) - 1) << s for s in (0, 21, 42))
-_SIGNS = 2  # hashes of a sentence; each gives 15 longs of four lanes
-_NARROW_BITS = sum(1 << s for s in (0, 15, 30, 45))
-_NARROW_MASK = sum(((1 << 14) - 1) << s for s in (0, 15, 30, 45))
-NARROW = 15 * _SIGNS
-LANES = 4 * NARROW
+_SIGNS = 2  # hashes of a sentence; each gives 30 longs of two lanes
+_PLACES = (0, 31)
+_NARROW_BITS = sum(1 << s for s in _PLACES)
+_NARROW_MASK = sum(((1 << 30) - 1) << s for s in _PLACES)
+NARROW = 30 * _SIGNS
+LANES = 2 * NARROW
+LONG = 32  # words of a sentence above which its shingles are hashed beside it
+SHINGLE = 4
 
 
 def _sum(items: Column, width: int, mask: int, lane) -> Column:
@@ -52,8 +57,20 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.!?]) +|\n"), lambda s: s != "")
 
 
+def likeness_items(text: Column) -> Column:
+    """Hashes of the sentences, and of the shingles of long sentences."""
+
+    def runs(words: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(words) - SHINGLE + 1)
+        found = F.transform(places, lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE))))
+        return F.when(F.size(words) > LONG, found).otherwise(F.array().cast("array<bigint>"))
+
+    words = F.transform(sentences(text), lambda s: F.split(s, r"\s+"))  # bound once for all runs of a sentence
+    return F.concat(F.transform(sentences(text), lambda s: F.xxhash64(s)), F.flatten(F.transform(words, runs)))
+
+
 def fingerprint(text: Column) -> Column:
-    """Array of longs: the wide lanes, the narrow lanes, the number of sentences.
+    """Array of longs: the wide lanes, the narrow lanes, the number of sentences and shingles.
 
     A missing text has the fingerprint of the empty text.
     """
@@ -64,12 +81,12 @@ def fingerprint(text: Column) -> Column:
     )
     narrow = [
         _sum(
-            F.transform(sentences(text), lambda s: F.xxhash64(s, F.lit(k))), 15, _NARROW_MASK,
+            F.transform(likeness_items(text), lambda s: F.xxhash64(s, F.lit(k))), 30, _NARROW_MASK,
             lambda h, j: F.call_function("shiftrightunsigned", h, j).bitwiseAND(F.lit(_NARROW_BITS)),
         )
         for k in range(_SIGNS)
     ]
-    return F.concat(wide, *narrow, F.array(F.size(sentences(text)).cast("long")))
+    return F.concat(wide, *narrow, F.array(F.size(likeness_items(text)).cast("long")))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -89,14 +106,14 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def _signed(f: Column) -> Column:
-    """Centred counts of the narrow lanes: 2*count - sentences."""
+    """Centred counts of the narrow lanes: 2*count - number of items."""
     n = F.element_at(f, -1)
     return F.flatten(
         F.transform(
             F.slice(f, WIDE + 1, NARROW),
             lambda x: F.transform(
-                F.array(*[F.shiftright(x, s) for s in (0, 15, 30, 45)]),
-                lambda v: (v.bitwiseAND(F.lit((1 << 14) - 1)) * 2 - n).cast("double"),
+                F.array(*[F.shiftright(x, s) for s in _PLACES]),
+                lambda v: (v.bitwiseAND(F.lit((1 << 30) - 1)) * 2 - n).cast("double"),
             ),
         )
     )
@@ -109,10 +126,10 @@ def _dot(x: Column, y: Column) -> Column:
 def with_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Add columns with the likeness of two fingerprint columns: name -> (first, second).
 
-    0 to 1: share of common sentences estimated from two fingerprints; 1 only for
-    equal ones. Texts without sentences are like nothing but themselves. Above
-    2**14 sentences the narrow lanes wrap: the estimate then falls to chance,
-    while equality still holds. Each vector is centred once for all its pairs.
+    0 to 1: share of common sentences and shingles estimated from two fingerprints; 1 only for
+    equal ones. Texts without sentences are like nothing but themselves, and a
+    long text without blanks is one item. Each vector is centred once for all its
+    pairs.
     """
     used = sorted({c for pair in pairs.values() for c in pair})
     df = df.withColumns({f"_s_{c}": _signed(F.col(c)) for c in used})

@@ -274,6 +274,17 @@ def test_fingerprints(spark, docs, texts):
     assert all(got)
 
 
+def test_likeness_of_long_texts(spark):
+    words = [f"w{i}" for i in range(400)]
+    other = [f"v{i}" for i in range(200)]
+    many = "same. " * 40_000
+    rows = [(" ".join(words), " ".join(words[:200] + other), " ".join(other), many + "a. b.", many + "c. d.")]
+    df = spark.createDataFrame(rows, "x string, half string, none string, p string, q string")
+    df = df.select(*[multiset_hash.fingerprint(F.col(c)).alias(c) for c in df.columns])
+    got = multiset_hash.with_likeness(df, {"a": ("x", "half"), "b": ("x", "none"), "c": ("p", "q")}).select("a", "b", "c").first()
+    assert 0.25 < got.a < 0.75 and got.b < 0.25 and got.c > 0.99
+
+
 def test_packing_is_gapless_and_true(docs, texts):
     from tokenizers import Tokenizer
 
