@@ -100,3 +100,26 @@ def op3_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = _table(spark, folder, "documents")
     return search(docs, docs.filter("doc_id % 100 = 0"))
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(_table(spark, folder, "documents"))
+
+
+SQL["op13_exact_dedup"] = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_cp,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents
+), r AS (
+  SELECT doc_id, norm,
+         first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_cp DESC, doc_id ASC NULLS LAST) AS keep_id,
+         count(*) OVER (PARTITION BY norm) AS group_size
+  FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
+FROM r
+"""
