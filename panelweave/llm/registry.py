@@ -123,3 +123,10 @@ WITH n AS (
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
 FROM r
 """
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from panelweave.llm.spelling_variants import spelling_variants
+
+    return spelling_variants(_table(spark, folder, "documents"))
