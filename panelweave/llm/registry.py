@@ -130,3 +130,13 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.spelling_variants import spelling_variants
 
     return spelling_variants(_table(spark, folder, "documents"))
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from panelweave.llm.token_alignment import align_tokenizers
+
+    path = public_tokenizers.path
+    return align_tokenizers(_table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
