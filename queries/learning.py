@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelweave import models, sources
+from panelweave.models import gram
 from panelweave.lineage import durable, scratch_folder
 from panelweave.operators import encode, explain, metrics, windows
 from queries import roles, series
@@ -522,3 +523,68 @@ def sequence_score(spark, folder):
         model, scaled, *roles.USER_DAY, ["l1_scaled"], 2, ["user_id", "day", "y"], only=F.col("day") > TRAIN_DAYS
     )
     return out.withColumn("prediction", F.round("prediction", 3))
+
+
+GRAM_GRID = ", ".join(
+    f"({s}, {str(g['fit_intercept']).lower()}, {g['reg']!r}::DOUBLE)" for s, g in enumerate(gram.RIDGE_GRID)
+)
+GRAM_COLUMNS = (
+    "setting int, fit_intercept boolean, reg double, fold int, n_train long, n_test long, r2 double, mean_r2 double, best boolean"
+)
+
+
+def gram_rows(spark, rows, features):
+    found = gram.gram_search(rows, features, "y", "day", "user_id", 3)
+    names = [c.split()[0] for c in GRAM_COLUMNS.split(", ")]
+    out = spark.createDataFrame([tuple(r[c] for c in names) for r in found], GRAM_COLUMNS)
+    return out.withColumns({"r2": F.round("r2", 6), "mean_r2": F.round("mean_r2", 6)})
+
+
+@query(
+    "gram_search",
+    f"""WITH {roles.PRED},
+    placed AS (SELECT *, row_number() OVER (ORDER BY day, user_id) - 1 AS i, count(*) OVER () AS n FROM pred),
+    blocks AS (SELECT *, CAST(i >= n - 3 * (n // 4) AS INT) + CAST(i >= n - 2 * (n // 4) AS INT)
+                         + CAST(i >= n - (n // 4) AS INT) AS block FROM placed),
+    grid AS (SELECT * FROM (VALUES {GRAM_GRID}) g(setting, fit_intercept, reg)),
+    folds AS (SELECT unnest([1, 2, 3]) AS fold),
+    train AS (
+      SELECT fold, count(*) AS n_train, avg(y) AS my, avg(p) AS mp, avg(l1) AS ml,
+             var_pop(p) AS cpp, var_pop(l1) AS cll, covar_pop(p, l1) AS cpl, covar_pop(p, y) AS cpy,
+             covar_pop(l1, y) AS cly, avg(p * p) AS rpp, avg(l1 * l1) AS rll, avg(p * l1) AS rpl,
+             avg(p * y) AS rpy, avg(l1 * y) AS rly
+      FROM blocks JOIN folds ON block < fold GROUP BY fold),
+    systems AS (
+      SELECT t.fold, g.setting, g.fit_intercept, g.reg, t.n_train, t.my, t.mp, t.ml,
+             CASE WHEN g.fit_intercept THEN cpp ELSE rpp END + g.reg AS a11,
+             CASE WHEN g.fit_intercept THEN cpl ELSE rpl END AS a12,
+             CASE WHEN g.fit_intercept THEN cll ELSE rll END + g.reg AS a22,
+             CASE WHEN g.fit_intercept THEN cpy ELSE rpy END AS b1,
+             CASE WHEN g.fit_intercept THEN cly ELSE rly END AS b2
+      FROM train t, grid g),
+    coef AS (SELECT *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS bp,
+                       (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) AS bl FROM systems),
+    fitted AS (SELECT *, CASE WHEN fit_intercept THEN my - bp * mp - bl * ml ELSE 0 END AS b0 FROM coef),
+    tests AS (SELECT *, avg(y) OVER (PARTITION BY block) AS ty, count(*) OVER (PARTITION BY block) AS n_test
+              FROM blocks WHERE block >= 1),
+    scored AS (
+      SELECT f.setting, f.fit_intercept, f.reg, f.fold, f.n_train, t.n_test,
+             1 - sum(pow(t.y - f.b0 - f.bp * t.p - f.bl * t.l1, 2)) / sum(pow(t.y - t.ty, 2)) AS r2
+      FROM fitted f JOIN tests t ON t.block = f.fold
+      GROUP BY f.setting, f.fit_intercept, f.reg, f.fold, f.n_train, t.n_test),
+    means AS (SELECT *, avg(r2) OVER (PARTITION BY setting) AS mean_r2 FROM scored)
+    SELECT setting, fit_intercept, reg, fold, n_train, n_test, round(r2, 6) AS r2, round(mean_r2, 6) AS mean_r2,
+           setting = first_value(setting) OVER (ORDER BY mean_r2 DESC, setting) AS best
+    FROM means""",
+)
+def gram_search(spark, folder):
+    """Linear and ridge settings on expanding time folds, from one aggregate of Gram matrices."""
+    return gram_rows(spark, durable(roles.pred(spark, folder)), ["p", "l1"])
+
+
+@query("gram_search_full")
+def gram_search_full(spark, folder):
+    """The same search on all lagged features and the streak of the training rows."""
+    rows = training_rows(spark, folder)
+    numeric = [c for c in rows.columns if c.endswith("_l3")] + ["streak"]
+    return gram_rows(spark, rows, numeric)
