@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,6 +168,28 @@ def stop_iteration(losses: Sequence[float], patience: int) -> tuple[int, int]:
     return best, len(losses) - 1
 
 
+def boosted_prefix(model: GBTRegressionModel, k: int) -> GBTRegressionModel:
+    """The first k trees of a fitted ensemble with their weights.
+
+    Boosting is sequential and seeded, so this is the model a fit of k
+    iterations gives, without fitting again.
+    """
+    java = model._java_obj
+    if not 1 <= k <= java.getNumTrees():
+        raise ValueError(f"{k} trees of {java.getNumTrees()}")
+    context = SparkContext._active_spark_context
+    gateway, jvm = context._gateway, context._jvm
+    regression = jvm.org.apache.spark.ml.regression
+    trees, weights = java.trees(), java.treeWeights()
+    kept = gateway.new_array(regression.DecisionTreeRegressionModel, k)
+    kept_weights = gateway.new_array(gateway.jvm.double, k)
+    for i in range(k):
+        kept[i] = trees[i]
+        kept_weights[i] = weights[i]
+    cut = GBTRegressionModel(regression.GBTRegressionModel(java.uid(), kept, kept_weights, java.numFeatures()))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def fit_with_patience(
     df: DataFrame,
     features: Estimator | None,
@@ -181,8 +203,9 @@ def fit_with_patience(
 
     Returns the model of the best iteration and the table (iteration,
     train_loss, validation_loss) up to the stop. Boosting is sequential and
-    seeded, so the first iterations of a long run are the short run. Without
-    `features` the rows already have a feature vector.
+    seeded, so the first iterations of a long run are the short run: the
+    model is cut from the one fit (`boosted_prefix`). Without `features` the
+    rows already have a feature vector.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -200,7 +223,7 @@ def fit_with_patience(
     held_loss = model.evaluateEachIteration(held, "squared")
     best, last = stop_iteration(held_loss, patience)
     if best + 1 < len(held_loss):
-        model = tree_model(label, **{**settings, "n_estimators": best + 1}).fit(train)
+        model = boosted_prefix(model, best + 1)
     prepared.unpersist()
     rows = [(i + 1, float(train_loss[i]), float(held_loss[i])) for i in range(last + 1)]
     # one row per boosting iteration

@@ -448,6 +448,19 @@ def grid_search(spark, folder):
     )
 
 
+def iteration_losses(spark, folder):
+    """Training and validation loss of every boosting iteration up to the stop, and the trees kept."""
+    rows = training_rows(spark, folder)
+    train, _ = fitted_days(rows)
+    model, history = models.fit_with_patience(
+        train, panel_features(rows), "y", ORDER, patience=3, n_estimators=8, max_depth=3
+    )
+    return history.withColumn("kept_trees", F.lit(model.stages[-1].getNumTrees))
+
+
+query("iteration_losses")(iteration_losses)
+
+
 @query(
     "loss_by_iteration",
     "SELECT true AS starts_at_one, true AS train_loss_falls, true AS stops_in_time, true AS keeps_the_best",
