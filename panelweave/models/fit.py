@@ -83,6 +83,30 @@ def search(
     return search_families(df, features, families, label, order, n_splits, parallelism)["model"]
 
 
+def shared_fits(tasks: Sequence[tuple]) -> list[tuple]:
+    """Fits that serve several settings: (build, params, [(task, trees or None)]).
+
+    Settings of a kind that differ only in `n_estimators` share the fit with the
+    most trees; each is scored on the first trees of that ensemble, which is
+    the ensemble a fit of its own would give (`boosted_prefix`). A model that
+    is not a boosted ensemble is fitted for each setting.
+    """
+    groups: dict = {}
+    for i, (name, build, params) in enumerate(tasks):
+        rest = tuple(sorted((k, repr(v)) for k, v in params.items() if k != "n_estimators"))
+        key = (name, rest) if "n_estimators" in params else (name, i)
+        groups.setdefault(key, []).append(i)
+    units = []
+    for members in groups.values():
+        _, build, params = tasks[members[0]]
+        if "n_estimators" in params:
+            most = max(tasks[i][2]["n_estimators"] for i in members)
+            units.append((build, {**params, "n_estimators": most}, [(i, tasks[i][2]["n_estimators"]) for i in members]))
+        else:
+            units.append((build, params, [(members[0], None)]))
+    return units
+
+
 def search_families(
     df: DataFrame,
     features: Estimator,
@@ -96,8 +120,9 @@ def search_families(
 
     The preprocessing depends neither on the kind nor on the searched settings:
     it is fitted once per fold on the fold's training rows, and the prepared
-    rows are kept while all settings are fitted on them. Within a kind the first
-    of equal scores wins.
+    rows are kept while all settings are fitted on them. Boosted settings that
+    differ only in their number of trees share one fit (`shared_fits`). Within
+    a kind the first of equal scores wins.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -109,6 +134,7 @@ def search_families(
         with ThreadPool(min(parallelism, len(items))) as pool:
             return pool.map(inheritable_thread_target(spark)(fn), items)
 
+    units = shared_fits(tasks)
     folded = time_folds(df, order, n_splits, "_fold")
     per_fold: list[list[float]] = []
     for k in range(1, n_splits + 1):
@@ -121,12 +147,27 @@ def search_families(
         )
         train, test = prepared.filter(F.col("_fold") < k), prepared.filter(F.col("_fold") == k)
 
-        def score(task: tuple, train=train, test=test) -> float:
-            _, build, params = task
-            scored = build(label, **params).fit(train).transform(test)
-            return scored.agg(r2_column(label, "prediction").alias("r2")).first()["r2"]
-
-        per_fold.append(on_pool(score, tasks))
+        def score(unit: tuple, train=train, test=test) -> list[tuple[int, float]]:
+            build, params, members = unit
+            model = build(label, **params).fit(train)
+            shared = isinstance(model, GBTRegressionModel)
+            out = []
+            for i, trees in members:
+                if trees is None or trees == params.get("n_estimators"):
+                    fitted = model
+                elif shared:
+                    fitted = boosted_prefix(model, trees)
+                else:
+                    fitted = build(label, **{**params, "n_estimators": trees}).fit(train)
+                scored = fitted.transform(test)
+                out.append((i, scored.agg(r2_column(label, "prediction").alias("r2")).first()["r2"]))
+            return out
+
+        values: list = [None] * len(tasks)
+        for found in on_pool(score, units):
+            for i, value in found:
+                values[i] = value
+        per_fold.append(values)
         prepared.unpersist()
 
     best: dict[str, Fitted] = {}
