@@ -127,6 +127,34 @@ def split_importance(spark, names: Sequence[str], importances: Sequence[float])
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def node_importance(spark, model_path: str, names: Sequence[str]) -> DataFrame:
+    """Split importance of a saved tree ensemble, from its node rows; one row per source column.
+
+    Every split node adds its gain times the rows that reached it (the first
+    impurity statistic) to its feature; the sums are normalised to 1, the rule
+    of Spark's boosted trees, which do not normalise tree by tree. Features
+    named `column=value` (indicators) are summed into their column. Columns
+    that no split uses get 0. Reads `model_path/data`, written by
+    `model.write().save(model_path)` of an ensemble (rows of treeID, nodeData).
+    """
+    nodes = spark.read.parquet(f"{model_path}/data").select("nodeData.*")
+    gains = (
+        nodes.filter(F.col("leftChild") >= 0)
+        .groupBy(F.col("split.featureIndex").alias("index"))
+        .agg(F.sum(F.col("gain") * F.col("impurityStats")[0]).alias("gain"))
+    )
+    features = spark.createDataFrame(list(enumerate(names)), "index int, feature string")
+    sources = features.withColumn("feature", F.split("feature", "=", 2)[0])
+    # one row per feature of the model: bounded by its width
+    summed = F.broadcast(sources).join(gains, "index", "left").groupBy("feature").agg(
+        F.coalesce(F.sum("gain"), F.lit(0.0)).alias("gain")
+    )
+    total = summed.agg(F.sum("gain").alias("total"))
+    return summed.crossJoin(total).select(
+        "feature", F.when(F.col("total") > 0, F.col("gain") / F.col("total")).otherwise(F.lit(0.0)).alias("importance")
+    )
+
+
 def top_k(df: DataFrame, score: str, k: int, ties: Sequence[str | Column] = ()) -> DataFrame:
     """The k rows with the largest score."""
     return df.orderBy(F.col(score).desc(), *ties).limit(k)

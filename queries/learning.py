@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -433,6 +434,17 @@ def gbt_fit_score(spark, folder):
     return out.join(F.broadcast(error)).select("user_id", "day", "y", known, "fits_better_than_mean")
 
 
+@query("tree_node_importance")
+def tree_node_importance(spark, folder):
+    """Split importance per source column, read from the saved node rows of boosted trees."""
+    rows = training_rows(spark, folder)
+    train, _ = fitted_days(rows)
+    model = Pipeline(stages=[panel_features(rows), small_trees()]).fit(train)
+    path = f"{scratch_folder(spark)}/trees-{uuid.uuid4().hex}"
+    model.stages[-1].write().save(path)
+    return explain.node_importance(spark, path, model.stages[0].feature_names())
+
+
 @query("grid_search")
 def grid_search(spark, folder):
     rows = training_rows(spark, folder)
