@@ -10,8 +10,8 @@ turns one into the other. If the edit lies in the right half of a word of length
 L, the left half (L // 2 >= 3 code points) occurs unchanged at the start of its
 near word; if it lies in the left half, the right half occurs unchanged at its
 end. So the vocabulary is indexed twice, in shards of equal first three code
-points and length, and of equal last three code points and length. A word
-queries the shards of its own key at lengths L - 1, L and L + 1:
+points and of equal last three code points, and a word searches the two
+shards of its keys:
 
 * in a shard of last letters, an FM-index of the delimited words
   (`#w1#w2#...#`) matches `#` and the right half exactly by backward search,
@@ -22,9 +22,9 @@ queries the shards of its own key at lengths L - 1, L and L + 1:
 Together the two orientations form the bidirectional index, and the two
 schemes find every pair at distance one. Only code points present in the
 current suffix-array interval are tried as substitutes or insertions, so the
-search visits intervals, not the alphabet. Shards whose patterns exceed
-`patterns_per_task` are split by the hash of the pattern, with the shard's index
-sent to each part; a shard never holds more than its own words.
+search visits intervals, not the alphabet. A shard of more than
+`patterns_per_task` words is split by the hash of the searching word, with the
+shard's index sent to each part; a shard never holds more than its own words.
 
 A word's form is its near word of largest n (ties: least in code-point order)
 when that n is at least 5 times its own; roots follow forms to their end by
@@ -38,6 +38,8 @@ count every occurrence; extra columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,7 +53,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DIVISOR, LEAST_CHARS, LEAST_COUNT, FORM_FACTOR = 199, 6, 5, 5
 
 _SEP = 0
-_STEP = 64  # rank checkpoints
 
 
 def _suffix_array(s: np.ndarray) -> np.ndarray:
@@ -76,7 +77,11 @@ def _suffix_array(s: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """FM-index of `#w1#w2#...#` over the code points of the words, with locate."""
+    """FM-index of `#w1#w2#...#` over the code points of the words, with locate.
+
+    The rank of a symbol before a place is a binary search in the sorted places
+    of that symbol in the BWT, so the index holds one number per text place.
+    """
 
     def __init__(self, words: list[str]) -> None:
         symbols = sorted({c for w in words for c in w})
@@ -93,28 +98,28 @@ class FMIndex:
         self.bwt = np.where(sa > 0, t[sa - 1], -1)
         self.n = len(t)
         counts = np.bincount(t[t >= 0], minlength=self.sigma)
-        self.first = np.concatenate([[1], 1 + np.cumsum(counts)[:-1]])  # the sentinel sorts first
-        marks = np.zeros((self.n // _STEP + 1, self.sigma), np.int64)
-        valid = self.bwt >= 0
-        for block in range(1, self.n // _STEP + 1):
-            part = self.bwt[(block - 1) * _STEP : block * _STEP]
-            marks[block] = marks[block - 1] + np.bincount(part[part >= 0], minlength=self.sigma)
-        self.marks = marks
-        self.valid = valid
+        self.first = (np.concatenate([[1], 1 + np.cumsum(counts)[:-1]])).tolist()  # the sentinel sorts first
+        order = np.argsort(self.bwt, kind="stable")
+        bounds = np.searchsorted(self.bwt[order], np.arange(self.sigma + 1))
+        # places[c]: sorted places of symbol c in the BWT; a rank is a binary search in it
+        self.places = [order[bounds[c] : bounds[c + 1]].tolist() for c in range(self.sigma)]
+        self.symbols = self.bwt.tolist()
         self.starts = np.array(starts, np.int64)
         self.words = words
 
-    def occ(self, i: int) -> np.ndarray:
-        """Count of each symbol in bwt[:i]."""
-        block = i // _STEP
-        part = self.bwt[block * _STEP : i]
-        return self.marks[block] + np.bincount(part[part >= 0], minlength=self.sigma)
+    def rank(self, c: int, i: int) -> int:
+        """Count of symbol c in bwt[:i]."""
+        return bisect_left(self.places[c], i)
 
-    def extend(self, lo: int, hi: int, c: int, before=None) -> tuple[int, int]:
-        a = self.occ(lo) if before is None else before[0]
-        b = self.occ(hi) if before is None else before[1]
+    def extend(self, lo: int, hi: int, c: int) -> tuple[int, int]:
         f = self.first[c]
-        return int(f + a[c]), int(f + b[c])
+        return f + bisect_left(self.places[c], lo), f + bisect_left(self.places[c], hi)
+
+    def present(self, lo: int, hi: int) -> list[int]:
+        """Symbols other than '#' in bwt[lo:hi]."""
+        if hi - lo <= 2 * self.sigma:
+            return sorted({c for c in self.symbols[lo:hi] if c > 0})
+        return [c for c in range(1, self.sigma) if self.rank(c, hi) > self.rank(c, lo)]
 
     def word_at(self, lo: int) -> str:
         return self.words[int(np.searchsorted(self.starts, self.sa[lo]))]
@@ -131,49 +136,56 @@ class FMIndex:
                 return set()
         found: set[str] = set()
         wanted = [code.get(c, -1) for c in pattern[:cut]]
-        self._rest(lo, hi, wanted, cut, 1, found)
+        for i in range(cut, -1, -1):
+            # the edit comes after the exact match of pattern[i:], at place i
+            self._edit(lo, hi, wanted, i, found)
+            if i == 0:
+                break
+            c0 = wanted[i - 1]
+            if c0 <= 0:
+                break
+            lo, hi = self.extend(lo, hi, c0)
+            if lo >= hi:
+                break
         found.discard(pattern)
         return found
 
-    def _rest(self, lo: int, hi: int, wanted: list[int], i: int, budget: int, found: set[str]) -> None:
-        before = (self.occ(lo), self.occ(hi))
-        present = [c for c in np.nonzero(before[1] - before[0])[0].tolist() if c != _SEP]
-        if i == 0:
-            a, b = self.extend(lo, hi, _SEP, before)
-            if a < b:
-                found.add(self.word_at(a))
-        else:
-            c0 = wanted[i - 1]
-            if c0 > 0:
-                a, b = self.extend(lo, hi, c0, before)
-                if a < b:
-                    self._rest(a, b, wanted, i - 1, budget, found)
-        if budget == 0:
-            return
+    def _edit(self, lo: int, hi: int, wanted: list[int], i: int, found: set[str]) -> None:
+        """One edit at place i of the rest pattern[:i], then an exact match and '#'."""
+        present = self.present(lo, hi)
         if i > 0:
-            self._rest(lo, hi, wanted, i - 1, 0, found)  # the word lacks pattern[i - 1]
+            self._exact(lo, hi, wanted, i - 1, found)  # the word lacks pattern[i - 1]
         for c in present:
-            a, b = self.extend(lo, hi, c, before)
+            a, b = self.extend(lo, hi, c)
             if i > 0 and c != wanted[i - 1]:
-                self._rest(a, b, wanted, i - 1, 0, found)  # substitution
-            self._rest(a, b, wanted, i, 0, found)  # the word has c more
+                self._exact(a, b, wanted, i - 1, found)  # substitution
+            self._exact(a, b, wanted, i, found)  # the word has c more
+
+    def _exact(self, lo: int, hi: int, wanted: list[int], i: int, found: set[str]) -> None:
+        """Match pattern[:i] exactly to the left, then '#'."""
+        for j in range(i - 1, -1, -1):
+            c = wanted[j]
+            if c <= 0:
+                return
+            places, f = self.places[c], self.first[c]
+            lo, hi = f + bisect_left(places, lo), f + bisect_left(places, hi)
+            if lo >= hi:
+                return
+        a, b = self.extend(lo, hi, _SEP)
+        if a < b:
+            found.add(self.word_at(a))
 
 
 def _shard_search(rows: pd.DataFrame) -> pd.DataFrame:
-    """Near pairs of one shard: rows of role 0 are indexed, rows of role 1 search."""
-    index = rows[rows.role == 0]
-    if index.empty:
-        return pd.DataFrame({"word": pd.Series([], dtype=object), "near": pd.Series([], dtype=object)})
+    """Near pairs of one shard: all its words are indexed, those marked search."""
     reverse = bool(rows.reverse.iloc[0])
-    words = sorted(set(index.word))
-    oriented = [w[::-1] for w in words] if reverse else words
-    fm = FMIndex(oriented)
+    words = sorted(set(rows.word))
+    fm = FMIndex([w[::-1] for w in words] if reverse else words)
     out_w, out_v = [], []
-    for w in rows[rows.role == 1].word:
+    for w in rows.word[rows.search]:
         length = len(w)
         if reverse:
-            hits = fm.near(w[::-1], length - length // 2)
-            hits = {v[::-1] for v in hits}
+            hits = {v[::-1] for v in fm.near(w[::-1], length - length // 2)}
         else:
             hits = fm.near(w, length // 2)
         out_w.extend([w] * len(hits))
@@ -197,25 +209,21 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 def near_pairs(words: DataFrame, patterns_per_task: int = 20_000) -> DataFrame:
     """(word, near): every ordered pair of vocabulary words one edit apart."""
-    length = F.char_length("word")
-    sides = [
-        words.select("word", F.lit(True).alias("reverse"), F.substring("word", 1, 3).alias("key"), length.alias("len")),
-        words.select("word", F.lit(False).alias("reverse"), F.expr("substring(word, -3, 3)").alias("key"), length.alias("len")),
-    ]
-    index = sides[0].unionByName(sides[1])
-    patterns = index.withColumn("len", F.explode(F.array(F.col("len") - 1, F.col("len"), F.col("len") + 1)))
-    shard = ["reverse", "key", "len"]
+    index = words.select("word", F.lit(True).alias("reverse"), F.substring("word", 1, 3).alias("key")).unionByName(
+        words.select("word", F.lit(False).alias("reverse"), F.expr("substring(word, -3, 3)").alias("key"))
+    )
+    shard = ["reverse", "key"]
     parts = (
-        patterns.groupBy(*shard).agg(F.count(F.lit(1)).alias("m"))
+        index.groupBy(*shard).agg(F.count(F.lit(1)).alias("m"))
         .select(*shard, F.ceil(F.col("m") / patterns_per_task).cast("int").alias("parts"))
     )
-    indexed = index.join(parts, shard).select(
-        *shard, "word", F.lit(0).alias("role"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    )
-    searching = patterns.join(parts, shard).select(
-        *shard, "word", F.lit(1).alias("role"), F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("part")
+    spread = index.join(parts, shard).select(
+        *shard, "word",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("own"),
     )
-    found = indexed.unionByName(searching).groupBy(*shard, "part").applyInPandas(_shard_search, "word string, near string")
+    spread = spread.select(*shard, "part", "word", (F.col("part") == F.col("own")).alias("search"))
+    found = spread.groupBy(*shard, "part").applyInPandas(_shard_search, "word string, near string")
     return found.distinct()
 
 
