@@ -11,11 +11,12 @@ group has one link: its last A and last B token.
 Counting, by minimal perfect hashing of the distinct pairs:
 
 1. One task per split aligns its texts once and writes, per document, its
-   figures and its links as 64-bit keys `a << 32 | b`. Tokenising costs about
+   figures and its links as 64-bit keys `a << 32 | b`, packed in one binary
+   value per document. Tokenising costs about
    750 CPU seconds a GB, so later passes read these links instead of
    tokenising again.
-2. The distinct keys of all documents are found by Spark (summed per task
-   first). Their number has a bound from the vocabularies alone: the shorter
+2. The distinct keys of all documents are found by Spark (made distinct in
+   each task first). Their number has a bound from the vocabularies alone: the shorter
    token of a link is a suffix of the longer one, so a key is fixed by its
    longer token and a suffix length, and there are at most the summed byte
    lengths of both vocabularies. The keys are checked against that bound,
@@ -37,23 +38,26 @@ each time; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.lineage import durable
 
 ALIGNED = (
-    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<long>"
+    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
 )
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
 _MASK = np.uint64(0xFFFFFFFF)
-_ROWS = 256  # texts encoded at once
+_ROWS = 256  # texts encoded at once, at most
+_BYTES = 1 << 20  # and their text bytes, at most (or one longer text alone)
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -118,27 +122,70 @@ def align(v: Vocabularies, text: str | None, ids_a: list[int] | None = None, ids
     ends_a, ends_b = np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b])
     if ends_a[-1] != len(want) or ends_b[-1] != len(want):
         return empty
-    if b"".join(v.a_bytes[i] for i in ids_a) != want or b"".join(v.b_bytes[i] for i in ids_b) != want:
+    if b"".join(map(v.a_bytes.__getitem__, ids_a)) != want or b"".join(map(v.b_bytes.__getitem__, ids_b)) != want:
         return empty
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    ga, gb = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-    cut_a = np.searchsorted(ga, np.arange(1, len(common)))
-    cut_b = np.searchsorted(gb, np.arange(1, len(common)))
-    text_a = [",".join(map(str, part)) for part in np.split(a, cut_a)]
-    text_b = [",".join(map(str, part)) for part in np.split(b, cut_b)]
-    groups = ";".join(f"{x}|{y}" for x, y in zip(text_a, text_b))
-    last_a, last_b = a[np.searchsorted(ends_a, common)], b[np.searchsorted(ends_b, common)]
-    keys = (last_a << 32) | last_b
-    return len(a), len(b), len(common), len(common), groups, keys
+    last_a, last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
+    keys = (a[last_a] << 32) | b[last_b]
+    return len(a), len(b), len(common), len(common), groups_text(a, b, last_a, last_b), keys
+
+
+def groups_text(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+    """`a1,a2|b1;a3|b2,b3`: ids of each group, A before B, groups in order.
+
+    Every id is written with the separator that follows it (',' inside a side,
+    '|' after the last A id, ';' after the last B id of a group, nothing at the
+    very end); the ids are then put in group order and joined once in Arrow.
+    """
+    end_a, end_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    end_a[last_a], end_b[last_b] = True, True
+    group = np.concatenate([np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b])
+    side = np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)])
+    seps = np.concatenate([np.where(end_a, "|", ","), np.where(end_b, ";", ",")])
+    seps[-1] = ""
+    order = np.lexsort((np.arange(len(group)), side, group))
+    ids = pa.array(np.concatenate([a, b])).cast(pa.string())
+    pieces = pc.binary_join_element_wise(ids, pa.array(seps), "").take(pa.array(order))
+    whole = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+    return pc.binary_join(whole, "")[0].as_py()
+
+
+_LOADED: dict[tuple[str, str], Vocabularies] = {}
+
+
+def vocabularies(byte_bpe: str, pieces: str) -> Vocabularies:
+    """The vocabularies, loaded once in each worker process."""
+    key = (byte_bpe, pieces)
+    # one thread per task: tasks are the parallelism, and threads would each hold their own buffers
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if key not in _LOADED:
+        _LOADED[key] = Vocabularies(byte_bpe, pieces)
+    return _LOADED[key]
+
+
+def _chunks(texts: list) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most `_ROWS` rows and `_BYTES` bytes; a longer text is a run of its own.
+
+    The encodings of a run are held at once, so runs are bounded by size, not only by rows.
+    """
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and (i - start >= _ROWS or size + n > _BYTES):
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def _aligner(byte_bpe: str, pieces: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabularies(byte_bpe, pieces)
+        v = vocabularies(byte_bpe, pieces)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start in range(0, len(texts), _ROWS):
-                part = texts[start : start + _ROWS]
+            for start, stop in _chunks(texts):
+                part = texts[start:stop]
                 live = [i for i, t in enumerate(part) if t]
                 enc_a = v.a.encode_batch([" " + part[i] for i in live], add_special_tokens=False)
                 enc_b = v.b.encode([part[i] for i in live], num_threads=1)
@@ -146,17 +193,17 @@ def _aligner(byte_bpe: str, pieces: str):
                 rows = [found.get(i) or align(v, None) for i in range(len(part))]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": ids[start : start + _ROWS],
+                        "doc_id": ids[start:stop],
                         "n_a": [r[0] for r in rows],
                         "n_b": [r[1] for r in rows],
                         "n_groups": [r[2] for r in rows],
                         "n_links": [r[3] for r in rows],
                         "groups_sha256": [hashlib.sha256(r[4].encode()).hexdigest() if r[0] else "" for r in rows],
-                        "links": [r[5] for r in rows],
+                        "links": [r[5].astype("<i8").tobytes() for r in rows],
                     },
                     schema=pa.schema([
                         ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-                        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("links", pa.list_(pa.int64())),
+                        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("links", pa.binary()),
                     ]),
                 )
 
@@ -223,14 +270,27 @@ class PerfectHash:
         return slots
 
 
+def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all rows of a column of packed links, and where each row's keys begin and end."""
+    packed = column.to_pylist()
+    offsets = np.cumsum([0] + [len(x) // 8 for x in packed])
+    return np.frombuffer(b"".join(packed), "<i8").astype(np.int64), offsets
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct keys of a task."""
+    seen = [np.unique(_unpack(batch.column(0))[0]) for batch in batches]
+    yield pa.RecordBatch.from_pydict({"key": np.unique(np.concatenate(seen)) if seen else np.empty(0, np.int64)})
+
+
 def _counter(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mph = table.value
         counts = np.zeros(mph.m, np.int64)
         for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            flat = _unpack(batch.column(0))[0]
             if len(flat):
-                counts += np.bincount(mph.verified_slots(flat.astype(np.int64)), minlength=mph.m)
+                counts += np.bincount(mph.verified_slots(flat), minlength=mph.m)
         yield pa.RecordBatch.from_pydict({"counts": [counts.tobytes()]})
 
     return run
@@ -240,10 +300,8 @@ def _lookup(table, counted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mph, (counts, best) = table.value, counted.value
         for batch in batches:
-            links = batch.column("links")
-            keys = links.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            keys, offsets = _unpack(batch.column("links"))
             slots = mph.verified_slots(keys) if len(keys) else np.empty(0, np.int64)
-            offsets = links.offsets.to_numpy()
             sums = [np.concatenate([[0], np.cumsum(x[slots])]) for x in (best.astype(np.int64), counts)]
             n_best, total = (s[offsets[1:]] - s[offsets[:-1]] for s in sums)
             out = batch.drop_columns(["links"])
@@ -258,7 +316,7 @@ def align_tokenizers(df: DataFrame, byte_bpe: str, pieces: str, key: str = "doc_
     spark = df.sparkSession
     source = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     aligned = durable(source.mapInArrow(_aligner(byte_bpe, pieces), ALIGNED))
-    keys = aligned.select(F.explode(F.array_distinct("links")).alias("key")).distinct()
+    keys = aligned.select("links").mapInArrow(_distinct, "key long").distinct()
     found = np.array([r.key for r in keys.collect()], np.int64)
     bound = Vocabularies(byte_bpe, pieces).key_bound()
     if len(found) > bound:
