@@ -139,4 +139,7 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     from panelweave.llm.token_alignment import align_tokenizers
 
     path = public_tokenizers.path
-    return align_tokenizers(_table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    return align_tokenizers(
+        _table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"),
+        ranks=path("byte_bpe_50k.tiktoken"),
+    )

@@ -43,11 +43,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.lineage import durable
+from panelweave.llm.packing import StreamEncoder
 
 ALIGNED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
@@ -56,8 +56,9 @@ RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
 _MASK = np.uint64(0xFFFFFFFF)
-_ROWS = 256  # texts encoded at once, at most
-_BYTES = 1 << 20  # and their text bytes, at most (or one longer text alone)
+_ROWS = 256  # texts encoded or looked up at once, at most
+_BYTES = 1 << 19  # and their text bytes, at most (or one longer text alone)
+_KEYS = 1 << 20  # keys a task gathers before it makes them distinct
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -78,13 +79,17 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 class Vocabularies:
-    """The two encoders and the bytes of every id."""
+    """The two encoders and the bytes of every id.
 
-    def __init__(self, byte_bpe: str, pieces: str) -> None:
+    ranks  file of the byte-level vocabulary as ranks, see `StreamEncoder`
+    """
+
+    def __init__(self, byte_bpe: str, pieces: str, ranks: str | None = None) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_bpe)
+        # each distinct chunk is encoded once; texts with the strings of special tokens are encoded whole
+        self.stream = StreamEncoder(byte_bpe, ranks)
+        self.a = self.stream.tokenizer
         self.a.encode_special_tokens = True
         alphabet = byte_level_alphabet()
         size = self.a.get_vocab_size(with_added_tokens=True)
@@ -101,19 +106,22 @@ class Vocabularies:
                 self.b_bytes.append(piece.replace("▁", " ").encode())
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        # ids as text, followed by each of the three separators
+        self.signs = max(len(self.a_bytes), len(self.b_bytes))
+        self.written = [f"{i}{sign}" for sign in ",|;" for i in range(self.signs)]
 
     def key_bound(self) -> int:
         """Most distinct linked pairs there can be (see the module text)."""
         return int(self.a_len.sum() + self.b_len.sum())
 
 
-def align(v: Vocabularies, text: str | None, ids_a: list[int] | None = None, ids_b: list[int] | None = None) -> tuple:
+def align(v: Vocabularies, text: str | None, ids_a: np.ndarray | None = None, ids_b: list[int] | None = None) -> tuple:
     """(n_a, n_b, n_groups, n_links, groups text, link keys) of one text."""
     empty = (0, 0, 0, 0, "", np.empty(0, np.int64))
     if not text:
         return empty
     if ids_a is None:
-        ids_a = v.a.encode(" " + text, add_special_tokens=False).ids
+        ids_a = np.array(v.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
         ids_b = v.b.encode(text)
     want = (" " + text).encode()
     a, b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
@@ -122,44 +130,41 @@ def align(v: Vocabularies, text: str | None, ids_a: list[int] | None = None, ids
     ends_a, ends_b = np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b])
     if ends_a[-1] != len(want) or ends_b[-1] != len(want):
         return empty
-    if b"".join(map(v.a_bytes.__getitem__, ids_a)) != want or b"".join(map(v.b_bytes.__getitem__, ids_b)) != want:
+    if b"".join(map(v.a_bytes.__getitem__, a.tolist())) != want or b"".join(map(v.b_bytes.__getitem__, ids_b)) != want:
         return empty
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
     last_a, last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
     keys = (a[last_a] << 32) | b[last_b]
-    return len(a), len(b), len(common), len(common), groups_text(a, b, last_a, last_b), keys
+    return len(a), len(b), len(common), len(common), groups_text(v, a, b, last_a, last_b), keys
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+def groups_text(v: Vocabularies, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
     """`a1,a2|b1;a3|b2,b3`: ids of each group, A before B, groups in order.
 
     Every id is written with the separator that follows it (',' inside a side,
     '|' after the last A id, ';' after the last B id of a group, nothing at the
-    very end); the ids are then put in group order and joined once in Arrow.
+    very end). An id stands behind all ids of its own side before it, and the
+    other side's ids of earlier groups (and of its own group, for a B id).
     """
     end_a, end_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     end_a[last_a], end_b[last_b] = True, True
-    group = np.concatenate([np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b])
-    side = np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)])
-    seps = np.concatenate([np.where(end_a, "|", ","), np.where(end_b, ";", ",")])
-    seps[-1] = ""
-    order = np.lexsort((np.arange(len(group)), side, group))
-    ids = pa.array(np.concatenate([a, b])).cast(pa.string())
-    pieces = pc.binary_join_element_wise(ids, pa.array(seps), "").take(pa.array(order))
-    whole = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
-    return pc.binary_join(whole, "")[0].as_py()
+    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    coded = np.empty(len(a) + len(b), np.int64)
+    coded[np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)] = a + v.signs * end_a
+    coded[np.arange(len(b)) + np.repeat(last_a + 1, size_b)] = b + 2 * v.signs * end_b
+    return "".join(map(v.written.__getitem__, coded.tolist()))[:-1]
 
 
-_LOADED: dict[tuple[str, str], Vocabularies] = {}
+_LOADED: dict[tuple, Vocabularies] = {}
 
 
-def vocabularies(byte_bpe: str, pieces: str) -> Vocabularies:
+def vocabularies(byte_bpe: str, pieces: str, ranks: str | None = None) -> Vocabularies:
     """The vocabularies, loaded once in each worker process."""
-    key = (byte_bpe, pieces)
+    key = (byte_bpe, pieces, ranks)
     # one thread per task: tasks are the parallelism, and threads would each hold their own buffers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if key not in _LOADED:
-        _LOADED[key] = Vocabularies(byte_bpe, pieces)
+        _LOADED[key] = Vocabularies(byte_bpe, pieces, ranks)
     return _LOADED[key]
 
 
@@ -179,17 +184,19 @@ def _chunks(texts: list) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _aligner(byte_bpe: str, pieces: str):
+def _aligner(byte_bpe: str, pieces: str, ranks: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabularies(byte_bpe, pieces)
+        v = vocabularies(byte_bpe, pieces, ranks)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, stop in _chunks(texts):
                 part = texts[start:stop]
                 live = [i for i, t in enumerate(part) if t]
-                enc_a = v.a.encode_batch([" " + part[i] for i in live], add_special_tokens=False)
+                enc_a = v.stream.encode([" " + part[i] for i in live])
                 enc_b = v.b.encode([part[i] for i in live], num_threads=1)
-                found = {i: align(v, part[i], ea.ids, eb) for i, ea, eb in zip(live, enc_a, enc_b)}
+                found = {
+                    i: align(v, part[i], np.frombuffer(ea, "<u4"), eb) for i, ea, eb in zip(live, enc_a, enc_b)
+                }
                 rows = [found.get(i) or align(v, None) for i in range(len(part))]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -210,10 +217,10 @@ def _aligner(byte_bpe: str, pieces: str):
     return run
 
 
-def _mix(x: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit mixer of keys under a seed (splitmix64 finaliser)."""
+def _mix(x: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
+    """A 64-bit mixer of keys under a seed, or each under its own (splitmix64 finaliser)."""
     with np.errstate(over="ignore"):
-        z = x.astype(np.uint64) ^ np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        z = x.astype(np.uint64) ^ np.asarray(seed, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
@@ -257,11 +264,7 @@ class PerfectHash:
 
     def slots(self, keys: np.ndarray) -> np.ndarray:
         bucket = (_mix(keys, 0) % np.uint64(self.buckets)).astype(np.int64)
-        at = np.zeros(len(keys), np.int64)
-        for seed in np.unique(self.seeds[bucket]):
-            chosen = self.seeds[bucket] == seed
-            at[chosen] = (_mix(keys[chosen], int(seed)) % np.uint64(self.places)).astype(np.int64)
-        return self.rank[at]
+        return self.rank[(_mix(keys, self.seeds[bucket]) % np.uint64(self.places)).astype(np.int64)]
 
     def verified_slots(self, keys: np.ndarray) -> np.ndarray:
         slots = self.slots(keys)
@@ -270,25 +273,37 @@ class PerfectHash:
         return slots
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of at most `_ROWS` rows: the keys of a part are held unpacked, so parts are small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+
+
 def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all rows of a column of packed links, and where each row's keys begin and end."""
     packed = column.to_pylist()
     offsets = np.cumsum([0] + [len(x) // 8 for x in packed])
-    return np.frombuffer(b"".join(packed), "<i8").astype(np.int64), offsets
+    return np.frombuffer(b"".join(packed), "<i8"), offsets
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct keys of a task."""
-    seen = [np.unique(_unpack(batch.column(0))[0]) for batch in batches]
-    yield pa.RecordBatch.from_pydict({"key": np.unique(np.concatenate(seen)) if seen else np.empty(0, np.int64)})
+    seen, new, held = np.empty(0, np.int64), [], 0
+    for part in _slices(batches):
+        new.append(np.unique(_unpack(part.column(0))[0]))
+        held += len(new[-1])
+        if held > len(seen) + _KEYS:
+            seen, new, held = np.unique(np.concatenate([seen, *new])), [], 0
+    yield pa.RecordBatch.from_pydict({"key": np.unique(np.concatenate([seen, *new]))})
 
 
 def _counter(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mph = table.value
         counts = np.zeros(mph.m, np.int64)
-        for batch in batches:
-            flat = _unpack(batch.column(0))[0]
+        for part in _slices(batches):
+            flat = _unpack(part.column(0))[0]
             if len(flat):
                 counts += np.bincount(mph.verified_slots(flat), minlength=mph.m)
         yield pa.RecordBatch.from_pydict({"counts": [counts.tobytes()]})
@@ -299,7 +314,7 @@ def _counter(table):
 def _lookup(table, counted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mph, (counts, best) = table.value, counted.value
-        for batch in batches:
+        for batch in _slices(batches):
             keys, offsets = _unpack(batch.column("links"))
             slots = mph.verified_slots(keys) if len(keys) else np.empty(0, np.int64)
             sums = [np.concatenate([[0], np.cumsum(x[slots])]) for x in (best.astype(np.int64), counts)]
@@ -311,11 +326,16 @@ def _lookup(table, counted):
     return run
 
 
-def align_tokenizers(df: DataFrame, byte_bpe: str, pieces: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+def align_tokenizers(
+    df: DataFrame, byte_bpe: str, pieces: str, key: str = "doc_id", text: str = "text", ranks: str | None = None
+) -> DataFrame:
+    """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
+
+    ranks  file of the byte-level vocabulary as ranks; if given, new chunks are encoded from it
+    """
     spark = df.sparkSession
     source = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    aligned = durable(source.mapInArrow(_aligner(byte_bpe, pieces), ALIGNED))
+    aligned = durable(source.mapInArrow(_aligner(byte_bpe, pieces, ranks), ALIGNED))
     keys = aligned.select("links").mapInArrow(_distinct, "key long").distinct()
     found = np.array([r.key for r in keys.collect()], np.int64)
     bound = Vocabularies(byte_bpe, pieces).key_bound()

@@ -50,3 +50,40 @@ def test_against_brute_force_with_edges(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert align_tokenizers(df, A, B).count() == 0
+
+
+def test_each_key_is_displaced_by_its_own_seed():
+    """One pass over the keys, however many seeds the hash has: as for each key alone."""
+    import numpy as np
+
+    from panelweave.llm import token_alignment as ta
+
+    keys = np.random.default_rng(3).integers(0, 1 << 47, 4000)
+    table, calls, mix = ta.PerfectHash(keys), [], ta._mix
+    ta._mix = lambda x, seed: calls.append(len(x)) or mix(x, seed)
+    try:
+        slots = table.verified_slots(np.unique(keys))
+    finally:
+        ta._mix = mix
+    assert len(calls) == 2 and sorted(slots.tolist()) == list(range(table.m))
+
+
+def test_groups_text_by_places():
+    """Special strings, odd blanks and long runs; encoded by chunks and as a whole."""
+    import numpy as np
+    import public_tokenizers
+
+    from panelweave.llm import token_alignment as ta
+
+    path = public_tokenizers.path
+    v = ta.Vocabularies(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), path("byte_bpe_50k.tiktoken"))
+    specials = "".join(v.stream.special)
+    for text in ("a", "Hello world, hello", "x  y\tz\n\nü 漢字", f"one {specials} two", "<|endoftext|>", "é" * 50):
+        ids_b = v.b.encode(text)
+        whole = v.a.encode(" " + text, add_special_tokens=False).ids
+        assert np.frombuffer(v.stream.encode([" " + text])[0], "<u4").tolist() == whole
+        n_a, n_b, n_groups, _, written, _ = ta.align(v, text, np.array(whole), ids_b)
+        if n_a:
+            sides = [[side.split(",") for side in group.split("|")] for group in written.split(";")]
+            assert [int(i) for a, _ in sides for i in a] == whole and [int(i) for _, b in sides for i in b] == ids_b
+            assert len(sides) == n_groups
