@@ -9,8 +9,8 @@ the word and the word, so results do not depend on partitions or retries.
 
 No piece reaches over the beginning of a word, so words are encoded one by one.
 Every occurrence has bits of its own. Where none of its first merges is skipped the
-model's own segmentation holds, found once for each word; a word with the same bits
-at all its candidates is segmented once in a batch, which gives the same ids.
+model's own segmentation holds, found once for each word. The short words of a batch
+with skips keep one agenda each, all of them advanced together, candidate by candidate.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ _NONE = float("-inf")
 _SHORT = 48  # characters up to which a word's agenda is a plain list
 _CHARS = 2_000_000  # characters of texts encoded at once
 _KNOWN = 200_000  # words whose segmentation without skips a worker remembers
-_VARIED = 100_000  # short words with skips it remembers beside them
+_COLUMN = 21  # characters up to which words with skips share their steps: 64 bits are enough for all their candidates
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,7 +75,6 @@ class PieceCodec:
         self.score: dict[str, float] = {}
         self.table: list[bytes] = []
         self.known: dict[str, list[int]] = {}  # segmentations without skips
-        self.varied: dict[tuple[str, int], list[int]] = {}  # segmentations with skips
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -88,6 +89,18 @@ class PieceCodec:
         crossing = [p for p in self.ids if "\n" in p and p.strip("\n") or _SPACE in p.lstrip(_SPACE)]
         if crossing:
             raise ValueError(f"pieces reach over word beginnings: {crossing[:3]}")
+        # a candidate is a pair of pieces that makes a piece: their ids, and its id and the rank of its score
+        rank = {s: r for r, s in enumerate(sorted(set(self.score.values())))}
+        pairs = sorted(
+            (self.ids[p[:k]] * size + self.ids[p[k:]], i, rank[self.score[p]])
+            for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids
+        )
+        self.size = size
+        self.pairs, self.made, self.rank = np.array([*pairs, (np.iinfo(np.int64).max, 0, 0)], np.int64).T.copy()
+        self.chars = np.full(0x110000, -1, np.int32)  # id of each character that is a piece
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.chars[ord(p)] = i
 
     def words(self, text: str) -> list[str]:
         """Words of the prefixed text; a literal word-begin sign is a word of its own, to be written as bytes."""
@@ -164,6 +177,74 @@ class PieceCodec:
                 offer(left, follow)
         return [s for s in symbols if s]
 
+    def _segment_column(self, symbol: np.ndarray, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces left of words of one length, word after word, and their number in each word.
+
+        symbol  (place, word): ids of the characters
+        skips   bits of each word
+        Each word's agenda is a column: (rank of the score, place from the right) of the candidate that
+        begins at each place, or -1.
+        """
+        n, count = symbol.shape
+        symbol, skips, order = symbol.copy(), skips.copy(), np.arange(n)[:, None]
+        left, right = np.repeat(order - 1, count, 1), np.repeat(order + 1, count, 1)
+        made, agenda = np.zeros((n, count), np.int64), np.full((n, count), -1, np.int64)
+        whole, column = np.ones((n, count), bool), np.arange(count)
+
+        def offer(place: np.ndarray, after: np.ndarray, word: np.ndarray) -> None:
+            key = symbol[place, word] * np.int64(self.size) + symbol[after, word]
+            at = np.searchsorted(self.pairs, key)
+            made[place, word] = self.made[at]
+            agenda[place, word] = np.where(self.pairs[at] == key, self.rank[at] * 32 + 31 - place, -1)
+
+        for i in range(n - 1):
+            offer(np.full(count, i), np.full(count, i + 1), column)
+        while len(column):
+            best = agenda[:, column].max(axis=0) if len(column) < count else agenda.max(axis=0)
+            column, best = column[best >= 0], best[best >= 0]
+            place = 31 - (best & 31)
+            agenda[place, column] = -1
+            merge = skips[column] & np.uint64(1) == 0
+            skips[column] >>= np.uint64(1)
+            word, place = column[merge], place[merge]
+            gone = right[place, word]
+            symbol[place, word] = made[place, word]
+            agenda[gone, word], whole[gone, word] = -1, False
+            before, after = left[place, word], right[gone, word]
+            right[place, word] = after
+            on = after < n
+            left[after[on], word[on]] = place[on]
+            offer(place[on], after[on], word[on])
+            on = before >= 0
+            offer(before[on], place[on], word[on])
+        return symbol.T[whole.T], whole.sum(axis=0)
+
+    def _segment_all(self, words: list[str], skips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with skips of at most 64 candidates, one after another, and their number in each word."""
+        if not words:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        length = np.array(list(map(len, words)))
+        symbols = self.chars[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        begin = np.cumsum(length) - length
+        known = np.minimum.reduceat(symbols, begin) >= 0
+        counts, ids = np.empty(len(words), np.int64), []
+        order: list[np.ndarray] = []
+        for n in np.unique(length[known]).tolist():
+            rows = np.flatnonzero(known & (length == n))
+            found, counts[rows] = self._segment_column(symbols[begin[rows] + np.arange(n)[:, None]].astype(np.int64), skips[rows])
+            ids.append(found)
+            order.append(rows)
+        for i in np.flatnonzero(~known).tolist():  # with characters that are written as bytes
+            own = self.segment(words[i], int(skips[i]))
+            counts[i] = len(own)
+            ids.append(np.array(own, np.int64))
+            order.append(np.array([i]))
+        rows = np.concatenate(order)
+        starts = np.empty(len(words), np.int64)
+        starts[rows] = np.cumsum(counts[rows]) - counts[rows]
+        shift = np.repeat(starts - (np.cumsum(counts) - counts), counts)
+        return np.concatenate(ids)[np.arange(len(shift)) + shift].astype(np.int32), counts
+
     def _skips(self, key: int, word: str, dropout: float) -> int:
         """Bits for every candidate of a word: it has fewer than three for each character."""
         count = -(-3 * len(word) // 64)
@@ -184,10 +265,11 @@ class PieceCodec:
             sizes.append(len(own))
         if not words:
             return [np.empty(0, np.int32) for _ in texts]
-        distinct = list(dict.fromkeys(words))
-        number = {w: i for i, w in enumerate(distinct)}
-        at = np.array(list(map(number.__getitem__, words)))
-        varied: list[list[int]] = []
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        distinct = list(number)
+        varied, varied_counts = [], np.empty(0, np.int64)  # ids of the words with skips
         plain = np.ones(len(words), bool)
         if dropout:
             sizes_ = np.array(sizes)
@@ -202,29 +284,18 @@ class PieceCodec:
             bits = skip_bits(key, dropout)
             # fewer than len(word) candidates leave the agenda before one is skipped, fewer than 3 len(word) - 2 at all
             ones = lambda n: (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
-            short = length <= 21
+            short = length <= _COLUMN
             plain = (bits & ones(np.minimum(length, 64) - 1)) == 0
             plain[length > 64] = False
             bits = np.where(short, bits & ones(np.minimum(3 * (length - 1), 63)), bits)
-            rest = np.flatnonzero(~plain)
-            begun: dict[tuple[str, int], list[int]] = {}
-            of: dict[int, int] = {}  # place in `varied` of a segmentation, by identity
-            index = np.empty(len(rest), np.int64)
-            for j, (i, own, fits, k) in enumerate(zip(rest.tolist(), bits[rest].tolist(), short[rest].tolist(), key[rest].tolist())):
-                word = words[i]
-                if not fits:
-                    own = self._skips(k, word, dropout)
-                ids = begun.get((word, own)) or self.varied.get((word, own))
-                if ids is None:
-                    ids = begun[word, own] = self.segment(word, own)
-                    if len(self.varied) < _VARIED and len(word) <= 8:
-                        self.varied[word, own] = ids
-                n = of.get(id(ids))
-                if n is None:
-                    n = of[id(ids)] = len(varied)
-                    varied.append(ids)
-                index[j] = n
-            at[rest] = len(distinct) + index
+            special = at == number[_SIGN] if _SIGN in number else np.zeros(len(words), bool)
+            rest, some = np.flatnonzero(~plain & (~short | special)), np.flatnonzero(~plain & short & ~special)
+            for i, k in zip(rest.tolist(), key[rest].tolist()):
+                varied.append(np.array(self.segment(words[i], self._skips(k, words[i], dropout)), np.int32))
+            ids, counts = self._segment_all([words[i] for i in some.tolist()], bits[some])
+            varied_counts = np.concatenate([[len(x) for x in varied], counts]).astype(np.int64)
+            varied.append(ids)
+            at[np.concatenate([rest, some])] = len(distinct) + np.arange(len(rest) + len(some))
         needed = np.zeros(len(distinct), bool)
         needed[at[plain]] = True
         known = self.known
@@ -237,11 +308,10 @@ class PieceCodec:
         for word, n in zip(distinct, needed.tolist()):
             own = (known.get(word) or found.get(word)) if n else []
             pieces.append(self.segment(word) if own is None else own)
-        pieces += varied
         if len(known) < _KNOWN:
             known.update((w, ids) for w, ids in found.items() if len(w) <= _SHORT)
-        lengths = np.array([len(p) for p in pieces])
-        flat = np.array([i for p in pieces for i in p], np.int32)
+        lengths = np.concatenate([np.array(list(map(len, pieces)), np.int64), varied_counts])
+        flat = np.concatenate([np.fromiter(chain.from_iterable(pieces), np.int32), *varied])
         begins, counts = (np.cumsum(lengths) - lengths)[at], lengths[at]
         ends = np.cumsum(counts)
         ids = flat[np.arange(ends[-1]) + np.repeat(begins - (ends - counts), counts)]
@@ -250,7 +320,7 @@ class PieceCodec:
 
     def decode(self, ids) -> str:
         """Text of ids: bytes are joined before they are read, the prefix is taken off."""
-        return b"".join([self.table[i] for i in ids]).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.table.__getitem__, np.asarray(ids).tolist())).decode("utf-8", "replace")[1:]
 
 
 @lru_cache(maxsize=1)

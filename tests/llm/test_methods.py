@@ -199,6 +199,19 @@ def test_every_occurrence_has_skips_of_its_own():
         assert codec.segment(w, low) == codec.segment(w, low | 1 << 3 * (len(w) - 1))
 
 
+def test_short_words_with_skips_share_their_steps(monkeypatch):
+    codec = piece_codec.PieceCodec(PATH("piece_bpe_32k.model"))
+    words = [w for w in codec.words("the quick  brown fox\n\njumps over lazy dogs, étés 日本 1999 internationalise") for _ in range(50)]
+    skips = np.array([(i * 0x9E3779B97F4A7C15 >> 7) & (1 << 3 * (len(w) - 1)) - 1 for i, w in enumerate(words)], np.uint64)
+    ids, counts = codec._segment_all(words, skips)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [codec.segment(w, int(m)) for w, m in zip(words, skips)]
+    calls, plain = [], codec.segment
+    monkeypatch.setattr(codec, "segment", lambda word, skips=0: calls.append(word) or plain(word, skips))
+    text = " ".join(f"word{i} hundred" for i in range(400))
+    assert codec.decode(codec.encode([text], [1], 0.3, 7)[0]) == text
+    assert len(calls) < 40  # no word with skips is segmented by itself
+
+
 @pytest.mark.parametrize("chunk", [256, 3])
 def test_links_and_groups_by_brute_force(spark, docs, texts, chunk):
     base = "one two three four five six seven eight nine ten " * 6
