@@ -15,7 +15,8 @@ random signs whose cosine estimates the overlap.
 
 Only SQL functions are used. A row's fingerprint is computed inside the row, so
 nothing is shuffled for it; lanes are packed so that one addition of longs adds
-two or three lanes, with guard bits against carries.
+two or three lanes, with guard bits against carries. The bits of sentences and shingles
+are counted eight to a long, in runs of at most 127 hashes, before they meet the lanes.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ WIDE = 22  # longs of three 20-bit lanes
 _WIDE_MASK = sum(((1 << 20) - 1) << s for s in (0, 21, 42))
 _SIGNS = 2  # hashes of a sentence; each gives 30 longs of two lanes
 _PLACES = (0, 31)
-_NARROW_BITS = sum(1 << s for s in _PLACES)
 _NARROW_MASK = sum(((1 << 30) - 1) << s for s in _PLACES)
 NARROW = 30 * _SIGNS
 LANES = 2 * NARROW
 LONG = 32  # words of a sentence above which its shingles are hashed beside it
 SHINGLE = 4
+_RUN = 127  # hashes whose bits are counted in bytes; more could overflow the topmost
+_BYTES = 0x0101010101010101
 
 
 def _sum(items: Column, width: int, mask: int, lane) -> Column:
@@ -48,6 +50,38 @@ def _sum(items: Column, width: int, mask: int, lane) -> Column:
     return F.aggregate(items, zero, add)
 
 
+def _with(value: Column, body) -> Column:
+    """body(value), the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _bit_counts(hashes: Column) -> Column:
+    """For j from 0 to 29: how many of the hashes have bit j, and bit j + 31 at bit 31; modulo the lanes' powers."""
+
+    def shifted(x: Column, by) -> Column:
+        return F.call_function("shiftrightunsigned", x, by if isinstance(by, Column) else F.lit(by))
+
+    def in_bytes(run: Column) -> Column:
+        """Byte i of the r-th long counts bit 8 * i + r."""
+        return F.array(*[
+            F.aggregate(run, F.lit(0).cast("long"), lambda s, h: s + shifted(h, r).bitwiseAND(F.lit(_BYTES)))  # noqa: B023
+            for r in range(8)
+        ])
+
+    def count(counted: Column, bit: Column) -> Column:
+        word = F.element_at(counted, bit.bitwiseAND(F.lit(7)) + 1)
+        return shifted(word, bit.bitwiseAND(F.lit(56))).bitwiseAND(F.lit(255))
+
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(hashes) / _RUN).cast("int")),
+        lambda i: in_bytes(F.slice(hashes, i * _RUN + 1, F.lit(_RUN))),
+    )
+    return _sum(
+        runs, 30, _NARROW_MASK,
+        lambda counted, j: count(counted, j) + F.shiftleft(count(counted, j + _PLACES[1]), _PLACES[1]),
+    )
+
+
 def paragraphs(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -65,8 +99,11 @@ def likeness_items(text: Column) -> Column:
         found = F.transform(places, lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE))))
         return F.when(F.size(words) > LONG, found).otherwise(F.array().cast("array<bigint>"))
 
-    words = F.transform(sentences(text), lambda s: F.split(s, r"\s+"))  # bound once for all runs of a sentence
-    return F.concat(F.transform(sentences(text), lambda s: F.xxhash64(s)), F.flatten(F.transform(words, runs)))
+    def of(found: Column) -> Column:
+        words = F.transform(found, lambda s: F.split(s, r"\s+"))  # bound once for all runs of a sentence
+        return F.concat(F.transform(found, lambda s: F.xxhash64(s)), F.flatten(F.transform(words, runs)))
+
+    return _with(sentences(text), of)
 
 
 def fingerprint(text: Column) -> Column:
@@ -79,14 +116,12 @@ def fingerprint(text: Column) -> Column:
         F.transform(paragraphs(text), lambda p: F.sha2(p, 256)), WIDE, _WIDE_MASK,
         lambda p, i: F.xxhash64(p, i).bitwiseAND(F.lit(_WIDE_MASK)),
     )
-    narrow = [
-        _sum(
-            F.transform(likeness_items(text), lambda s: F.xxhash64(s, F.lit(k))), 30, _NARROW_MASK,
-            lambda h, j: F.call_function("shiftrightunsigned", h, j).bitwiseAND(F.lit(_NARROW_BITS)),
-        )
-        for k in range(_SIGNS)
-    ]
-    return F.concat(wide, *narrow, F.array(F.size(likeness_items(text)).cast("long")))
+
+    def narrow(items: Column) -> Column:
+        counts = [_with(F.transform(items, lambda s: F.xxhash64(s, F.lit(k))), _bit_counts) for k in range(_SIGNS)]  # noqa: B023
+        return F.concat(*counts, F.array(F.size(items).cast("long")))
+
+    return F.concat(wide, _with(likeness_items(text), narrow))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:

@@ -287,6 +287,20 @@ def test_fingerprints(spark, docs, texts):
     assert all(got)
 
 
+@pytest.mark.parametrize("n", [0, 1, 126, 127, 128, 1000])
+def test_bits_are_counted_in_runs(spark, n):
+    rng = random.Random(n)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(n)] + [-1] * n
+    df = spark.createDataFrame([(hashes,)], "h array<long>").select(multiset_hash._bit_counts(F.col("h")).alias("x"))
+    bit = lambda j: sum(h >> j & 1 for h in hashes)
+    assert df.first().x == [bit(j) + (bit(j + 31) << 31) for j in range(30)]
+
+
+def test_sentences_are_split_once(spark):
+    df = spark.createDataFrame([("a. b",)], "t string").select(multiset_hash.fingerprint(F.col("t")).alias("f"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 3  # paragraphs, sentences, words
+
+
 def test_likeness_of_long_texts(spark):
     words = [f"w{i}" for i in range(400)]
     other = [f"v{i}" for i in range(200)]
