@@ -16,14 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.lineage import durable
 from panelweave.llm.components import components
-from panelweave.llm.texts import keyed_text
+from panelweave.llm.texts import keyed_text, sliced
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _KNOWN = 200_000  # words whose hashes a task remembers
@@ -102,24 +103,28 @@ class Signer:
 def _classes(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """row, doc_id, text_hash, two halves of the class key, and the band hashes of every row."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, sign = GramSet(n), Signer(bands, rows)
-        for batch in batches:
-            sets = [grams(t) for t in batch["text"]]
-            keys = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-            yield pd.DataFrame(
-                {
-                    "row": batch["row"], "doc_id": batch["doc_id"], "text_hash": batch["text_hash"],
-                    "k1": np.array([k >> 64 for k in keys], np.uint64).view(np.int64),
-                    "k2": np.array([k & (1 << 64) - 1 for k in keys], np.uint64).view(np.int64),
-                    "bands": [sign(s) if len(s) else np.empty(0, np.int64) for s in sets],
-                }
+        for batch in sliced(batches):
+            keys, signed = [], []
+            for t in batch["text"].to_pylist():
+                own = grams(t)
+                keys.append(xxhash.xxh3_128_intdigest(own.tobytes()))
+                signed.append(sign(own) if len(own) else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["row"], batch["doc_id"], batch["text_hash"],
+                    pa.array(np.array([k >> 64 for k in keys], np.uint64).view(np.int64)),
+                    pa.array(np.array([k & (1 << 64) - 1 for k in keys], np.uint64).view(np.int64)),
+                    pa.array(signed, pa.list_(pa.int64())),
+                ],
+                ["row", "doc_id", "text_hash", "k1", "k2", "bands"],
             )
 
     keyed = keyed_text(docs).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), "text"
     )
-    return keyed.mapInPandas(work, "row long, doc_id long, text_hash long, k1 long, k2 long, bands array<long>")
+    return keyed.mapInArrow(work, "row long, doc_id long, text_hash long, k1 long, k2 long, bands array<long>")
 
 
 def _candidates(reps: DataFrame) -> DataFrame:
@@ -198,17 +203,18 @@ def _verify(docs: DataFrame, placed: DataFrame, n: int, similarity: float, chunk
 
     bits = _bitmap(placed)
 
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, table = GramSet(n), bits.value
-        for batch in batches:
-            h = batch["text_hash"].to_numpy(np.int64) & (_BITS - 1)
-            part = batch[table[h >> 3] >> (h & 7) & 1 > 0]
-            yield part.drop(columns="text").assign(grams=[of(t).tobytes() for t in part["text"]])
+        for batch in sliced(batches):
+            h = batch["text_hash"].to_numpy() & (_BITS - 1)
+            part = batch.filter(pa.array(table[h >> 3] >> (h & 7) & 1 > 0))
+            sets = pa.array([of(t).tobytes() for t in part["text"].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["text_hash"], sets], ["doc_id", "text_hash", "grams"])
 
     # texts stay where they are: only n-grams of rows that may be wanted are shuffled
     found = (
         keyed_text(docs).withColumn("text_hash", F.xxhash64("text"))
-        .mapInPandas(grams, "doc_id long, text_hash long, grams binary")
+        .mapInArrow(grams, "doc_id long, text_hash long, grams binary")
     )
     wanted = placed.select("rep", "doc_id", "text_hash").withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
     found = found.join(
@@ -284,9 +290,14 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents table with one row of each group; a repeated row stays once."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = near_duplicates(docs, n, similarity).filter("first_of_group").select(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")
-    )
-    keyed = docs.select(*columns).withColumn("_h", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_t"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_h"]).select(*columns)
+
+    def key(doc_id: str, text_hash: Column) -> list[Column]:
+        """Of one document; a missing doc_id is equal to itself."""
+        known = F.col(doc_id).cast("long")
+        return [F.coalesce(known, F.lit(0)).alias("_d"), known.isNull().alias("_n"), text_hash.alias("_h")]
+
+    kept = near_duplicates(docs, n, similarity).filter("first_of_group").select(*key("doc_id", F.col("text_hash")))
+    keyed = docs.select(*columns, *key("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))))
+    # one key for the join and for repeated rows, so that texts are shuffled and sorted once
+    same = ["_d", "_n", "_h"]
+    return keyed.join(kept.hint("merge"), same, "left_semi").dropDuplicates(same).select(*columns)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ def py_remainder(key: int | None, modulus: int) -> int:
     return zlib.crc32(b"" if key is None else str(key).encode()) % modulus
 
 
+ROWS = 1024  # rows worked on at once, so that a worker's memory does not grow with Spark's batches
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces of at most ROWS."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS):
+            yield batch.slice(begin, ROWS)
+
+
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -39,7 +51,7 @@ def map_documents(docs: DataFrame, work) -> DataFrame:
     rows = docs.select(*DOCUMENT)
 
     def each(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             yield work(batch)
 
     return rows.mapInArrow(each, rows.schema)
