@@ -130,7 +130,8 @@ class Shard:
     """A loaded shard with the impacts of its postings and their greatest by term and block."""
 
     def __init__(self, data: bytes, mean: float, k1: float, b: float) -> None:
-        self.terms, postings, self.doc, count, sizes, self.ids, self.known = load(data)
+        self.terms, postings, doc, count, sizes, self.ids, self.known = load(data)
+        self.doc = doc.astype(np.intp)  # as bincount takes them, not turned again by every search
         ends = np.cumsum(postings, dtype=np.int64)
         n = count.astype(np.float64)
         self.impact = n * (k1 + 1) / (n + k1 * (1 - b + b * sizes[self.doc] / mean))
@@ -153,8 +154,9 @@ class Shard:
         at, weights = at[found], weights[found]
         if not len(at):
             return np.empty(0, np.int64), np.empty(0), 0
-        cells, owner = _ranges(self.first[at], self.first[at + 1])
-        block, weight = self.block[cells], weights[owner]
+        begin, end = self.first[at], self.first[at + 1]
+        cells = _ranges(begin, end)
+        block, weight = self.block[cells], np.repeat(weights, end - begin)
         bound = np.bincount(block, weights=weight * self.greatest[cells], minlength=self.blocks) * (1 + 1e-9)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
@@ -167,8 +169,10 @@ class Shard:
             wanted[:] = False
             wanted[batch] = True
             chosen = np.flatnonzero(wanted[block])
-            spot, own = _ranges(self.begin[cells[chosen]], self.end[cells[chosen]])
-            total = np.bincount(self.doc[spot], weights=weight[chosen][own] * self.impact[spot], minlength=1)
+            begin, end = self.begin[cells[chosen]], self.end[cells[chosen]]
+            spot, part = _ranges(begin, end), np.repeat(weight[chosen], end - begin)
+            part *= self.impact[spot]
+            total = np.bincount(self.doc[spot], weights=part, minlength=1)
             hit = np.flatnonzero(total > 0)
             docs, scores = np.concatenate([docs, hit]), np.concatenate([scores, total[hit]])
             if len(docs) > k:
@@ -179,11 +183,13 @@ class Shard:
         return docs, scores, done
 
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of several ranges, and the index of the range of each."""
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of several ranges."""
     size = end - begin
-    owner = np.repeat(np.arange(len(size)), size)
-    return np.arange(len(owner)) + (begin - (np.cumsum(size) - size))[owner], owner
+    ends = np.cumsum(size)
+    out = np.repeat(begin - (ends - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def search(

@@ -148,6 +148,18 @@ def test_search_is_exact(docs, texts):
         assert out[out.query_id == q].sort_values("rank").score.tolist() == pytest.approx(best)
 
 
+def test_documents_of_postings_are_ready_to_be_counted():
+    data = packed.dump(
+        np.array([3], np.uint64), np.array([2], np.uint32), np.array([0, 1], np.uint32), np.array([1, 2], np.uint32),
+        np.array([4, 5], np.uint32), np.array([7, 8], np.int64), np.array([True, True]),
+    )
+    shard = ranked_search.Shard(data, 4.5, 1.2, 0.75)
+    assert shard.doc.dtype == np.intp  # else every search would turn them again
+    docs, scores, _ = shard.search(np.array([3], np.uint64), np.array([1.0]), 5)
+    assert shard.ids[docs].tolist() == [7, 8] and scores == pytest.approx(shard.impact)
+    assert ranked_search._ranges(np.array([5, 2, 9]), np.array([7, 2, 10])).tolist() == [5, 6, 9]
+
+
 def test_blocks_are_pruned():
     rng = np.random.default_rng(0)
     doc, sizes = np.repeat(np.arange(6400), 5), np.full(6400, 50, np.uint32)
@@ -212,6 +224,28 @@ def test_short_words_with_skips_share_their_steps(monkeypatch):
     assert len(calls) < 40  # no word with skips is segmented by itself
 
 
+def test_texts_are_shuffled_once_and_worked_on_in_pieces(spark):
+    import pyarrow as pa
+
+    from panelweave.llm.texts import ROWS, map_documents, sliced
+
+    rows = [(i % 40, f"one two three four five six {i % 40}", "en", "s", 1) for i in range(60)] + [(None, "a b", "en", "s", 1)] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = near_duplicates.drop_near_duplicates(frame)
+    tree = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in tree and "Exchange" not in tree.split("SortMergeJoin")[0]  # none between the join and the repeated rows
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, i) for i in range(40)] + [(True, None)]
+    batch = pa.record_batch({"x": list(range(2 * ROWS + 5))})
+    assert [b.num_rows for b in sliced(iter([batch]))] == [ROWS, ROWS, 5]
+    many = spark.range(3000, numPartitions=1).selectExpr("id doc_id", "'t' text", "'en' lang", "'s' source", "1L n_chars")
+
+    def work(b):
+        return pa.RecordBatch.from_arrays([*[b.column(i) for i in range(4)], pa.array([b.num_rows] * b.num_rows, pa.int64())], schema=b.schema)
+
+    out = map_documents(many, work)
+    assert out.agg(F.max("n_chars"), F.count("*")).first()[:] == (ROWS, 3000)
+
+
 @pytest.mark.parametrize("chunk", [256, 3])
 def test_links_and_groups_by_brute_force(spark, docs, texts, chunk):
     base = "one two three four five six seven eight nine ten " * 6
