@@ -176,6 +176,8 @@ class Shard:
             hit = np.flatnonzero(total > 0)
             docs, scores = np.concatenate([docs, hit]), np.concatenate([scores, total[hit]])
             if len(docs) > k:
+                most = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]  # only these are put in order
+                docs, scores = docs[most], scores[most]
                 best = np.lexsort((self.ids[docs], -scores))[:k]
                 docs, scores = docs[best], scores[best]
             if len(docs) == k:
