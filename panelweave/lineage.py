@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,27 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table of a `durable` result that no later step reads."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        _delete(df.sparkSession, unquote(folder))
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query that ends inside this scope, such as the writing of a `durable` table.
+
+    Spark otherwise keeps them until the driver collects its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that `durable` writes inside this scope when it ends.

@@ -21,8 +21,10 @@ packed as columns, to the partition of the word, so all a dish needs is in one
 task; words that make up much of the corpus are dealt by word and context instead,
 so no task holds one. The restaurants are a table that grows with the corpus,
 dealt by ranges of the context's hash into shards: before the first sweep each part
-is told the customers and dishes of its contexts, and after every sweep the parts
-send their tables by context and are told the sums over all parts. Only the
+is told the customers, dishes and places of its contexts, and after every sweep the
+parts send their tables by place and are told the sums over all parts. What no
+sweep changes is written once; a sweep's rows are deleted when the next ones are
+written, and a sample keeps its numbers of tables only. Only the
 tables of the frequent words and the overall sums pass through the driver. Parts
 sample at the same time, each given all tables of the sweep before, so each
 averaged prediction sums to one over the words. The number of parts depends on
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.lineage import durable
+from panelweave.lineage import discard, durable, shuffles_released
 from panelweave.llm.packed import dump, load
 from panelweave.llm.texts import keyed_text, py_remainder
 
@@ -73,6 +75,15 @@ def _deal(w: np.ndarray, context: np.ndarray, hot: np.ndarray, parts: int) -> np
     return (x % np.uint64(parts)).astype(np.int32)
 
 
+def _gaps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, which pack better than the numbers; cumsum turns them back."""
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
+def _numbers(gaps: np.ndarray) -> np.ndarray:
+    return np.cumsum(gaps, dtype=gaps.dtype)
+
+
 def _block(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hash, context and document of every token of a block."""
     words: list[bytes] = []
@@ -123,9 +134,11 @@ def _counted(keyed: DataFrame, hot: np.ndarray, parts: int, modulus: int, held:
                     lo, hi = bounds[p], bounds[p + 1]
                     if lo < hi:
                         a, b = spans[lo], spans[hi]
+                        own, sizes = np.unique(w[first[lo:hi]], return_counts=True)
+                        u, place = np.unique(context[first[lo:hi]], return_inverse=True)
                         out.append((p, dump(
-                            w[first[lo:hi]], context[first[lo:hi]], trained[lo:hi], entries[lo:hi], doc[a:b], count[a:b],
-                            np.diff(ids, prepend=0), np.diff(docs, prepend=0), known, train,
+                            _gaps(own), sizes.astype(np.uint32), _gaps(u), place.astype(np.uint32), trained[lo:hi],
+                            entries[lo:hi], doc[a:b], count[a:b], np.diff(ids, prepend=0), np.diff(docs, prepend=0), known, train,
                         )))
                 yield pd.DataFrame(out, columns=["part", "data"])
 
@@ -139,28 +152,32 @@ def _merged(sent: DataFrame) -> DataFrame:
         part, sent_ = int(rows["part"].iloc[0]), rows["data"].tolist()
         del rows
         # only the pairs of all blocks are held at once; entries are read block by block
-        columns = [load(d, 3) for d in sent_]
-        sizes = [len(c[0]) for c in columns]
-        context, trained = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
-        words = np.concatenate([c[0] for c in columns])
+        columns = [load(d, 5) for d in sent_]
+        sizes = [len(c[3]) for c in columns]
+        words, u = (np.unique(np.concatenate([_numbers(c[i]) for c in columns])) for i in (0, 2))
+        key = np.concatenate([
+            np.repeat(np.searchsorted(words, _numbers(c[0])), c[1]) * len(u) + np.searchsorted(u, _numbers(c[2]))[c[3]]
+            for c in columns
+        ])
+        trained = np.concatenate([c[4] for c in columns])
         del columns
-        order = np.lexsort((context, words))
-        words, context = words[order], context[order]
-        new_word = np.ones(len(words), bool)
-        new_word[1:] = words[1:] != words[:-1]
-        new = new_word.copy()
-        new[1:] |= context[1:] != context[:-1]
-        pair = np.empty(len(words), np.int32)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        pair = np.empty(len(key), np.int32)
         pair[order] = np.cumsum(new) - 1
         del order
         trained = np.bincount(pair, weights=trained).astype(np.uint32)
-        sizes_ = np.diff(np.append(np.flatnonzero(new_word[new]), new.sum())).astype(np.uint32)
-        pairs = dump(words[new_word], sizes_, context[new], trained)
-        del words, context, new, new_word, trained
+        word, context = np.divmod(key[new], len(u))
+        del key, new
+        sizes_ = np.bincount(word, minlength=len(words)).astype(np.uint32)
+        pairs = dump(_gaps(words), sizes_, _gaps(u), context.astype(np.uint32), trained)
+        del words, u, word, context, trained
         entries, at = [], 0
         for d, size in zip(sent_, sizes):
             own, at = pair[at : at + size], at + size
-            data = dump(np.diff(own, prepend=np.int32(0)).astype(np.int32), *load(d)[3:])
+            data = dump(np.diff(own, prepend=np.int32(0)).astype(np.int32), *load(d)[5:])
             entries.append(struct.pack("<Q", len(data)) + data)
         return pd.DataFrame({"part": [part], "pairs": [pairs], "entries": [b"".join(entries)]})
 
@@ -173,7 +190,8 @@ def _totals(parts: DataFrame, hot: np.ndarray) -> dict[tuple[str, int], list[int
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for value in batch["pairs"]:
-                w, sizes, _, c = load(value)
+                w, sizes, _, _, c = load(value)
+                w = _numbers(w)
                 word = np.repeat(np.arange(len(w)), sizes)
                 seen = c > 0
                 tokens = np.bincount(word, weights=c, minlength=len(w)).astype(np.int64)
@@ -196,43 +214,55 @@ def _messages(part: int, shards: int, u: np.ndarray, *columns: np.ndarray) -> It
     bounds = np.searchsorted(u, np.array([(k << 64) // shards for k in range(shards)], np.uint64)).tolist() + [len(u)]
     for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         if lo < hi:
-            yield part, k, dump(u[lo:hi], *[c[lo:hi] for c in columns])
+            yield part, k, dump(_gaps(u[lo:hi]), *[c[lo:hi] for c in columns])
 
 
 def _exchanged(sent: DataFrame) -> DataFrame:
-    """Rows (part, shard, data): the sums over all parts of what they sent by context, in the order each sent it."""
+    """Rows (part, shard, data): the tables over all parts at the places whose gaps each part sent, in its order."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         columns = [load(d) for d in rows["data"]]
-        u, at = np.unique(np.concatenate([c[0] for c in columns]), return_inverse=True)
-        sums = [
-            np.bincount(at, weights=np.concatenate([c[i] for c in columns]), minlength=len(u)).astype(np.int64)
-            for i in range(1, len(columns[0]))
-        ]
-        own = np.split(at, np.cumsum([len(c[0]) for c in columns])[:-1])
-        return pd.DataFrame({"part": rows["part"], "shard": rows["shard"], "data": [dump(*[x[a] for x in sums]) for a in own]})
+        places = [_numbers(c[0]) for c in columns]
+        sums = np.bincount(np.concatenate(places), weights=np.concatenate([c[1] for c in columns])).astype(np.uint32)
+        return pd.DataFrame({"part": rows["part"], "shard": rows["shard"], "data": [dump(sums[x]) for x in places]})
 
     return sent.groupBy("shard").applyInPandas(work, "part int, shard int, data binary")
 
 
 def _received(rows: pd.DataFrame, columns: int) -> list[np.ndarray]:
-    """Sums for all contexts of a part, from the answers of all shards."""
+    """Columns for all contexts of a part, from the answers of all shards."""
     loaded = [load(d) for d in rows.sort_values("shard")["data"]]
     return [np.concatenate([x[i] for x in loaded]) if loaded else np.empty(0, np.int64) for i in range(columns)]
 
 
 def _restaurants(parts: DataFrame, shards: int) -> DataFrame:
-    """Rows (part, shard, data): customers, dishes and dishes with several customers in one part, of its contexts."""
+    """Rows (part, shard, data): customers and dishes of a part's contexts, whether a pair of them has several
+    customers anywhere, and the gaps between their places among the shard's contexts that have such pairs."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, pairs in zip(batch["part"], batch["pairs"]):
-                _, _, context, c = load(pairs)
-                u, at = np.unique(context, return_inverse=True)
-                sums = [np.bincount(at, weights=x, minlength=len(u)).astype(np.int64) for x in (c, c > 0, c > 1)]
-                yield pd.DataFrame(list(_messages(int(part), shards, u, *sums)), columns=["part", "shard", "data"])
+                _, _, u, context, c = load(pairs)
+                sums = [np.bincount(context, weights=x, minlength=len(u)).astype(np.uint32) for x in (c, c > 0, c > 1)]
+                yield pd.DataFrame(list(_messages(int(part), shards, _numbers(u), *sums)), columns=["part", "shard", "data"])
+
+    def summed(rows: pd.DataFrame) -> pd.DataFrame:
+        columns = [load(d) for d in rows["data"]]
+        u, at = np.unique(np.concatenate([_numbers(c[0]) for c in columns]), return_inverse=True)
+        customers, dishes, several = (
+            np.bincount(at, weights=np.concatenate([c[i] for c in columns]), minlength=len(u)).astype(np.int64)
+            for i in range(1, 4)
+        )
+        live = several > 0
+        place = (np.cumsum(live) - 1).astype(np.uint32)
+        own = np.split(at, np.cumsum([len(c[0]) for c in columns])[:-1])
+        return pd.DataFrame({
+            "part": rows["part"], "shard": rows["shard"],
+            "data": [dump(customers[x], dishes[x], live[x], _gaps(place[x[live[x]]])) for x in own],
+        })
 
-    return _exchanged(parts.select("part", "pairs").mapInPandas(work, "part int, shard int, data binary"))
+    messages = parts.select("part", "pairs").mapInPandas(sent, "part int, shard int, data binary")
+    return messages.groupBy("shard").applyInPandas(summed, "part int, shard int, data binary")
 
 
 def _lgamma(z: np.ndarray) -> np.ndarray:
@@ -342,12 +372,20 @@ def _rows(kind: str, rows) -> pd.DataFrame:
     return out
 
 
+def _root(
+    customers: np.ndarray, tables: np.ndarray, all_customers: int, all_tables: int, strength: float, d0: float, base: float
+) -> np.ndarray:
+    """Probability of words in the root."""
+    own = np.maximum(customers - d0 * tables.astype(float), 0)
+    return (own + (strength + d0 * all_tables) * base) / (strength + all_customers)
+
+
 def _sampled(
     parts: DataFrame, restaurants: DataFrame, totals: dict, hot: np.ndarray, seed: int, sweeps: int, burn: int,
-    strength: float, d1: float, d0: float, vocabulary: int, shards: int,
-) -> list[DataFrame]:
-    """Rows (part, data) of each sample: tables of the pairs with several customers, probabilities of words in
-    the root, tables of the contexts that have such pairs."""
+    strength: float, d1: float, d0: float, vocabulary: int,
+) -> tuple[list[DataFrame], dict[int, tuple[int, int]]]:
+    """Rows (part, data) of each sample: its number, tables of the pairs with several customers and of the contexts
+    that have such pairs, customers and tables of the words in the root; and for each number the root's own."""
     base = 1 / (vocabulary + 1)
     hot = np.sort(hot)
     # what the driver knows: all root customers and tables, those of each frequent word
@@ -358,57 +396,66 @@ def _sampled(
     def first(key, pairs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(pairs):
             return _rows("state", [])
-        w, sizes, context, c = load(pairs["pairs"].iloc[0])
-        _, dishes, several = _received(answers, 3)
+        w, sizes, _, at, c = load(pairs["pairs"].iloc[0])
+        w = _numbers(w)
+        _, dishes, live = _received(answers, 3)
+        gaps = {int(k): load(d)[3] for k, d in zip(answers["shard"], answers["data"])}
         word = np.repeat(np.arange(len(w), dtype=np.uint32), sizes)
-        u, at = np.unique(context, return_inverse=True)
-        live, on = several > 0, c > 1
+        on = c > 1
         place = (np.cumsum(live) - 1).astype(np.uint32)
         alone = np.bincount(word[c == 1], minlength=len(w)).astype(np.uint32)
         index = np.searchsorted(hot, w) if len(hot) else np.zeros(len(w), np.int64)
         often = np.where(np.isin(w, hot), index, -1).astype(np.int32)
-        single = np.bincount(at[c == 1], minlength=len(u)).astype(np.uint32)[live]
+        single = np.bincount(at[c == 1], minlength=len(live)).astype(np.uint32)[live]
         least = alone + np.bincount(word[on], minlength=len(w))
-        fixed = dump(word[on], place[at[on]], c[on], alone, often, u[live], single)
+        shard = np.array(sorted(gaps), np.int32)
+        own = [gaps[k] for k in shard.tolist()]
+        fixed = dump(
+            _gaps(word[on]), place[at[on]], c[on], alone, often, single,
+            np.concatenate([*own, np.empty(0, np.uint32)]), shard, np.array([len(x) for x in own], np.int64),
+        )
         state = dump(np.ones(int(on.sum()), np.uint32), np.minimum(least, 1).astype(np.uint32))
         part = int(key[0])
         return pd.concat([
-            _rows("state", [(part, 0, 0, 0, struct.pack("<Q", len(fixed)) + fixed + state)]),
-            _rows("tables", [(part, 0, 0, 0, dump(dishes[live]))]),
+            _rows("fixed", [(part, 0, 0, 0, fixed)]), _rows("state", [(part, 0, 0, 0, state)]),
+            _rows("tables", [(part, 0, 0, 0, dump(dishes[live].astype(np.uint32)))]),
         ])
 
     def sweep(number: int, root_all: int, root_tables: int, hot_c: np.ndarray, hot_t: np.ndarray):
-        def work(key, states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-            part = int(key[0])
-            if not len(states):
-                return _rows("state", [])
-            value = states["data"].iloc[0]
-            (size,) = struct.unpack_from("<Q", value)
-            fixed = value[: 8 + size]
-            word, place, c, alone, often, u, single = load(fixed[8:])
-            t, root_t = load(value[8 + size :])
-            (tables,) = _received(answers, 1)
+        def work(rows: pd.DataFrame) -> pd.DataFrame:
+            part = int(rows["part"].iloc[0])
+            value = dict(zip(rows["kind"], rows["data"]))
+            word, place, c, alone, often, single, gaps, shard, lengths = load(value["fixed"])
+            word = _numbers(word)
+            t, root_t = load(value["state"])
+            (tables,) = _received(rows[rows["kind"] == "tables"], 1)
             by_driver = often >= 0
             root_c = alone + np.bincount(word, weights=t, minlength=len(alone))
-            root_c[by_driver], root_t = hot_c[often[by_driver]], root_t.astype(float)
+            root_c[by_driver] = hot_c[often[by_driver]]
             root_t[by_driver] = hot_t[often[by_driver]]
             new_root = strength + d0 * root_tables
-            p = (np.maximum(root_c - d0 * root_t, 0) + new_root * base) / (strength + root_all)
+            p = _root(root_c, root_t, root_all, root_tables, strength, d0, base)
             out = []
             if number > burn:
-                out.append(_rows("sample", [(part, 0, 0, 0, dump(t, p, tables))]))
+                data = dump(np.array([number], np.uint32), t, tables, root_c.astype(np.int64), root_t)
+                out.append(_rows("sample", [(part, 0, 0, 0, data)]))
             if number < sweeps:
                 rng = np.random.default_rng([seed, part, number])
                 t = seat(c.astype(np.int64), (strength + d1 * tables)[place] * p[word], d1, rng).astype(np.uint32)
                 own = np.bincount(word, weights=t, minlength=len(alone)) + alone
                 root_t, on = np.minimum(own, 1), np.flatnonzero((own > 1) & ~by_driver)
                 root_t[on] = seat(np.rint(own[on]).astype(np.int64), np.full(len(on), new_root * base), d0, rng)
-                state = fixed + dump(t, root_t.astype(np.uint32))
-                sent = single + np.bincount(place, weights=t, minlength=len(u)).astype(np.int64)
+                state = dump(t, root_t.astype(np.uint32))
+                sent = (single + np.bincount(place, weights=t, minlength=len(single))).astype(np.uint32)
+                ends = np.cumsum(lengths)
+                messages = [
+                    (part, k, 0, 0, dump(gaps[b - n : b], sent[b - n : b]))
+                    for k, b, n in zip(shard.tolist(), ends.tolist(), lengths.tolist()) if n
+                ]
                 sums = [(part, 0, -1, int(own.sum())), (part, 0, -2, int(root_t[~by_driver].sum()))]
                 sums += [(part, 0, int(i), int(n)) for i, n in zip(often[by_driver], own[by_driver])]
                 out.append(_rows("state", [(part, 0, 0, 0, state)]))
-                out.append(_rows("sent", [(a, k, 0, 0, d) for a, k, d in _messages(part, shards, u, sent)]))
+                out.append(_rows("sent", messages))
                 out.append(_rows("sum", [(*x, None) for x in sums]))
             return pd.concat(out)
 
@@ -417,16 +464,20 @@ def _sampled(
     at = durable(
         parts.select("part", "pairs").groupBy("part").cogroup(restaurants.groupBy("part")).applyInPandas(first, _SWEEP)
     )
-    answers = at.filter("kind = 'tables'").select("part", "shard", "data")
+    columns, unchanged, roots = ["kind", "part", "shard", "data"], at, {}
+    fixed, answers = at.filter("kind = 'fixed'").select(columns), at.filter("kind = 'tables'").select(columns)
     samples = []
     for number in range(sweeps + 1):
-        states = at.filter("kind = 'state'").select("part", "data")
-        at = durable(
-            states.groupBy("part").cogroup(answers.groupBy("part"))
+        state = at.filter("kind = 'state'").select(columns)
+        before, at = at, durable(
+            fixed.unionByName(state).unionByName(answers).groupBy("part")
             .applyInPandas(sweep(number, root_all, root_tables, hot_c, hot_t), _SWEEP)
         )
+        if before is not unchanged:
+            discard(before)
         if number > burn:
-            samples.append(at.filter("kind = 'sample'").select("part", "data"))
+            roots[number] = root_all, root_tables
+            samples.append(durable(at.filter("kind = 'sample'").select("part", "data")))
         if number < sweeps:
             sums = {r["id"]: r["n"] for r in at.filter("kind = 'sum'").groupBy("id").agg(F.sum("n").alias("n")).collect()}
             new_root = strength + d0 * root_tables
@@ -437,7 +488,10 @@ def _sampled(
             hot_t[on] = seat(hot_c[on], np.full(len(on), new_root * base), d0, rng)
             root_all, root_tables = sums.get(-1, 0), sums.get(-2, 0) + int(hot_t.sum())
             answers = _exchanged(at.filter("kind = 'sent'").select("part", "shard", "data"))
-    return samples
+            answers = answers.select(F.lit("tables").alias("kind"), "part", "shard", "data")
+    discard(at)
+    discard(unchanged)
+    return samples, roots
 
 
 def _scored(
@@ -448,35 +502,34 @@ def _scored(
     frequent = {k[1]: v for k, v in totals.items() if k[0] == "word"}
     vocabulary += sum(v[0] > 0 for v in frequent.values())
     d1, d0 = _discount(ones, twos), _discount(root_ones, root_twos)
-    restaurants = durable(_restaurants(parts, shards))
-    kept = _sampled(
-        parts, restaurants, totals, hot, seed, burn + samples, burn, strength, d1, d0, vocabulary, shards
-    )
+    with shuffles_released(parts.sparkSession):
+        restaurants = durable(_restaurants(parts, shards))
+        kept, roots = _sampled(parts, restaurants, totals, hot, seed, burn + samples, burn, strength, d1, d0, vocabulary)
     known_ = restaurants.select("part", "shard", "data")
     for x in kept:
         known_ = known_.unionByName(x.select("part", F.lit(-1).alias("shard"), "data"))
 
-    def predictions(w, sizes, context, c, known: pd.DataFrame):
+    def predictions(w, sizes, at, c, known: pd.DataFrame):
         """Averaged probability of each pair, training count of each word."""
         word = np.repeat(np.arange(len(w)), sizes)
         count = np.bincount(word, weights=c, minlength=len(w))
         for i in np.flatnonzero(np.isin(w, hot)).tolist():
             count[i] = frequent[int(w[i]) - (1 << 63)][0]
-        _, at = np.unique(context, return_inverse=True)
-        customers, tables, several = _received(known[known["shard"] >= 0], 3)
-        t, live, on = (c > 0).astype(float), several > 0, c > 1
+        customers, tables, live = _received(known[known["shard"] >= 0], 3)
+        t, on = (c > 0).astype(float), c > 1
         total = np.zeros(len(c))
         # the samples are added in one order, so that sums do not move
-        for value in sorted(known["data"][known["shard"] < 0]):
-            t[on], p, tables[live] = load(value)
+        for number, *sample in sorted((load(d) for d in known["data"][known["shard"] < 0]), key=lambda x: x[0][0]):
+            t[on], tables[live], root_c, root_t = sample
+            p = _root(root_c, root_t, *roots[int(number[0])], strength, d0, 1 / (vocabulary + 1))
             total += (np.maximum(c - d1 * t, 0) + (strength + d1 * tables[at]) * p[word]) / (strength + customers[at])
         return total / samples, count, word
 
     def work(key, rows_: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         out = []
         for pairs, entries in zip(rows_["pairs"], rows_["entries"]):
-            w, sizes, context, c = load(pairs)
-            p, count, word = predictions(w, sizes, context, c, known)
+            w, sizes, _, at, c = load(pairs)
+            p, count, word = predictions(_numbers(w), sizes, at, c, known)
             score = np.log10(p)
             plain = np.log10((count + 1) / (tokens + vocabulary + 1))[word]
             seen, at = count[word] > 0, 0
@@ -559,5 +612,7 @@ def score_texts(
     # by the texts alone, so that scores are the same on any number of cores
     parts = max(_PARTS, -(-chars // _PART_CHARS))
     hot = _frequent_words(keyed, chars, parts, sample_chars)
-    merged = durable(_merged(_counted(keyed, hot, parts, modulus, held)))
-    return _scored(merged, _totals(merged, hot), hot, seed, burn, samples, strength, parts)
+    with shuffles_released(docs.sparkSession):
+        merged = durable(_merged(_counted(keyed, hot, parts, modulus, held)))
+        totals = _totals(merged, hot)
+    return _scored(merged, totals, hot, seed, burn, samples, strength, parts)

@@ -106,6 +106,27 @@ def test_contexts_have_restaurants_of_their_own(spark):
     assert score[f"{a} x"] > score[f"{a} y"] + 1.5 and score[f"{b} y"] > score[f"{b} x"] + 1.5
 
 
+def test_a_language_model_deletes_what_no_later_step_reads(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from panelweave import lineage
+
+    folder = urlparse(lineage.scratch_folder(spark)).path
+    df = spark.createDataFrame([(i, f"a b{i % 7} c a b{i % 5}") for i in range(60)], "doc_id long, text string")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert pitman_yor.score_texts(df, burn=2, samples=3).count() == 60
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 2 + 3  # pairs with their entries, restaurants, and one table for each sample
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_ascending_numbers_are_sent_as_gaps():
+    for x in (np.array([3, 9, 2**64 - 1], np.uint64), np.array([0, 0, 5], np.uint32), np.empty(0, np.uint64)):
+        gaps = pitman_yor._gaps(x)
+        assert gaps.dtype == x.dtype and pitman_yor._numbers(gaps).tolist() == x.tolist()
+
+
 def test_base_spans_are_the_patterns():
     rng = random.Random(1)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
