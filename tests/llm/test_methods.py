@@ -393,6 +393,21 @@ def test_odd_texts_are_encoded_like_the_tokenizer():
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(odd)] == [model.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_latin_texts_are_encoded_whole_like_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    encoder, model = packing.StreamEncoder(PATH("byte_bpe_50k.json"), PATH("byte_bpe_50k.tiktoken")), Tokenizer.from_file(PATH("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    odd = {"\t", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0"}
+    signs = [chr(u) for u in range(0x250) if chr(u) not in odd]
+    texts = ["".join(rng.choice([*signs, *" \n'stle1 \n'"]) for _ in range(60)) for _ in range(1500)]
+    texts += ["".join(rng.choice("ab é\n1'") for _ in range(60)) for _ in range(500)] + [" " * 3000 + "a" + "\n" * 3000]
+    want = [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert not encoder.known  # no text was cut
+    assert not any(encoder._plain(f"a{c}b") for c in [*odd, "\u0250", "\U0001f600", "<|endoftext|>"])
+
+
 def test_balance_spreads_cost():
     rng = random.Random(4)
     lengths = [rng.randint(1, 900) for _ in range(300)]
