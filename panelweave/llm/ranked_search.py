@@ -4,9 +4,12 @@ Each task indexes the texts it reads as one or more shards: postings by term, an
 for each term the greatest impact in every block of documents. Documents are
 ordered by their most frequent term and their length, so that blocks are alike
 and their bounds are tight. For a query, the bounds of its terms are added up by
-block; blocks are scored from the highest bound down, and all blocks whose bound
+block (those of terms of many documents by document first, the best document's sum
+standing for the block, which is less than the sum of maxima); blocks are scored from the highest bound down, and all blocks whose bound
 is below the k-th best score so far are skipped: none of their documents can be
-among the best k. Counts of documents and their mean length are global, so the
+among the best k. Scores of terms of many documents are added up in single precision, for several
+queries at once; documents that may be among the best k with such a score are then
+scored exactly. Counts of documents and their mean length are global, so the
 shards' results are merged exactly.
 
 Queries are taken in blocks of a bounded number of terms, each sent to all shards.
@@ -29,9 +32,11 @@ from panelweave.llm.packed import dump, load
 from panelweave.llm.texts import keyed_text
 
 BLOCK = 64  # documents of a block
+OFTEN = 8  # terms of at least one in so many of a shard's documents are also kept by document
 _WORD = re.compile(r"\w+")
 _PIECE_CHARS = 4_000_000
 _SHARD_CHARS = 32_000_000
+_SCORES = 1 << 20  # documents' scores from terms of many documents held at once
 _QUERY_TERMS = 500_000  # terms of the queries sent to the shards at once
 
 
@@ -145,9 +150,44 @@ class Shard:
         self.greatest = np.maximum.reduceat(self.impact, self.begin) if len(block) else self.impact
         self.first = np.searchsorted(self.begin, np.concatenate([[0], ends]))  # first (term, block) of each term
         self.blocks = -(-len(self.ids) // BLOCK)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Documents and scores of the best k (ties: least id first), and the number of blocks scored."""
+        # impacts of the terms of many documents by document, which takes no more than a few times their postings
+        self.is_often = (postings.astype(np.int64) * OFTEN >= len(self.ids)) & (postings >= BLOCK)
+        often = np.flatnonzero(self.is_often)
+        self.often = self.terms[often]
+        self.rounded = 1e-6 * (4 + len(often))  # more than single precision loses, as a share
+        self.by_document = np.zeros((len(often), self.blocks * BLOCK), np.float32)
+        for i, t in enumerate(often.tolist()):
+            begin, end = ends[t] - postings[t], ends[t]
+            self.by_document[i, self.doc[begin:end]] = self.impact[begin:end]
+            self.greatest[self.first[t] : self.first[t + 1]] = 0
+
+    def often_scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """By query and document: the score from terms of many documents, in single precision."""
+        own = np.zeros((len(queries), len(self.often)), np.float32)
+        for i, (terms, weights) in enumerate(queries):
+            _, at, of = np.intersect1d(self.often, terms, assume_unique=True, return_indices=True)
+            own[i, at] = weights[of]
+        return own @ self.by_document
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """What `search` finds for each of the (terms, weights), a few at once."""
+        step = max(1, _SCORES // max(1, self.blocks * BLOCK, len(self.often)))
+        for begin in range(0, len(queries), step):
+            some = queries[begin : begin + step]
+            for (terms, weights), often in zip(some, self.often_scores(some)):
+                yield self.search(terms, weights, k, often)
+
+    def search(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, often: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, int]:
+        """Documents and scores of the best k (ties: least id first), and the number of blocks scored.
+
+        often  the query's row of `often_scores`, if it is known
+        """
+        if often is None:
+            (often,) = self.often_scores([(terms, weights)])
+        often = often.astype(np.float64).reshape(self.blocks, BLOCK)
+        over = 1 + self.rounded
         at = np.searchsorted(self.terms, terms)
         found = at < len(self.terms)
         found[found] = self.terms[at[found]] == terms[found]
@@ -158,32 +198,40 @@ class Shard:
         cells = _ranges(begin, end)
         block, weight = self.block[cells], np.repeat(weights, end - begin)
         bound = np.bincount(block, weights=weight * self.greatest[cells], minlength=self.blocks) * (1 + 1e-9)
+        bound += often.max(axis=1) * over
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        docs, scores, least, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
-        wanted = np.zeros(self.blocks, bool)
+        docs, sums, least, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
+        rare = np.repeat(~self.is_often[at], end - begin)
+        cells_, block_, weight_ = cells[rare], block[rare], weight[rare]
         while done < len(order) and bound[order[done]] >= least:
             batch = order[done : done + step]
             batch = batch[bound[batch] >= least]
             done, step = done + len(batch), step * 2
-            wanted[:] = False
-            wanted[batch] = True
-            chosen = np.flatnonzero(wanted[block])
-            begin, end = self.begin[cells[chosen]], self.end[cells[chosen]]
-            spot, part = _ranges(begin, end), np.repeat(weight[chosen], end - begin)
-            part *= self.impact[spot]
-            total = np.bincount(self.doc[spot], weights=part, minlength=1)
-            hit = np.flatnonzero(total > 0)
-            docs, scores = np.concatenate([docs, hit]), np.concatenate([scores, total[hit]])
-            if len(docs) > k:
-                most = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]  # only these are put in order
-                docs, scores = docs[most], scores[most]
-                best = np.lexsort((self.ids[docs], -scores))[:k]
-                docs, scores = docs[best], scores[best]
-            if len(docs) == k:
-                least = scores.min()
+            total = self._sums(cells_, block_, weight_, batch).reshape(-1, BLOCK)[batch] + often[batch]
+            hit = np.flatnonzero(total.ravel() * over >= least) if least else np.flatnonzero(total.ravel() > 0)
+            docs = np.concatenate([docs, batch[hit // BLOCK] * BLOCK + hit % BLOCK])
+            sums = np.concatenate([sums, total.ravel()[hit]])
+            if len(docs) >= k:  # the k-th best score is at least
+                least = np.partition(sums, len(sums) - k)[len(sums) - k] * (1 - self.rounded)
+                near = sums * over >= least
+                docs, sums = docs[near], sums[near]
+        scores = self._sums(cells, block, weight, docs // BLOCK)[docs]
+        if len(docs) > k:
+            best = np.lexsort((self.ids[docs], -scores))[:k]
+            docs, scores = docs[best], scores[best]
         return docs, scores, done
 
+    def _sums(self, cells: np.ndarray, block: np.ndarray, weight: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Scores by document from the cells that lie in some of the blocks."""
+        chosen = np.zeros(self.blocks, bool)
+        chosen[wanted] = True
+        chosen = np.flatnonzero(chosen[block])
+        begin, end = self.begin[cells[chosen]], self.end[cells[chosen]]
+        spot, part = _ranges(begin, end), np.repeat(weight[chosen], end - begin)
+        part *= self.impact[spot]
+        return np.bincount(self.doc[spot], weights=part, minlength=self.blocks * BLOCK)
+
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """All numbers of several ranges."""
@@ -234,7 +282,7 @@ def search(
             for batch in batches:
                 for value in batch["data"]:
                     shard = Shard(value, mean, k1, b)
-                    best = [shard.search(term[lo:hi], weight[lo:hi], k) for lo, hi in zip(starts.tolist(), ends.tolist())]
+                    best = list(shard.search_all([(term[lo:hi], weight[lo:hi]) for lo, hi in zip(starts.tolist(), ends.tolist())], k))
                     if best:
                         found = np.concatenate([x[0] for x in best])
                         of = np.repeat(starts, [len(x[0]) for x in best])

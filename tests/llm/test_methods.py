@@ -197,6 +197,46 @@ def test_blocks_are_pruned():
     assert found.max() < 64 and scored < 10 < shard.blocks
 
 
+def _shard(doc, term, rows, ids):
+    key, n = np.unique(term.astype(np.uint64) * 100_000 + doc.astype(np.uint64), return_counts=True)
+    terms, place = np.unique(key // 100_000, return_inverse=True)
+    data = packed.dump(
+        terms, np.bincount(place).astype(np.uint32), (key % 100_000).astype(np.uint32), n.astype(np.uint32),
+        np.full(rows, 9, np.uint32), ids, np.ones(rows, bool),
+    )
+    return ranked_search.Shard(data, 9.0, 1.2, 0.75)
+
+
+def test_frequent_terms_are_bounded_by_document():
+    doc = np.append(np.arange(6400), [700, 701, 702])  # every document has one of two terms, three of one block have both
+    shard = _shard(doc, np.append(np.arange(6400) % 2, [1, 0, 1]), 6400, np.arange(6400))
+    found, scores, scored = shard.search(np.array([0, 1], np.uint64), np.array([1.0, 1.0]), 3)
+    assert found.tolist() == [700, 701, 702] and scored < 10 < shard.blocks  # the maxima of all blocks are the same
+
+
+def test_searches_at_once_are_exact():
+    rng = np.random.default_rng(3)
+    for rows in (1, 63, 1000, 3000):
+        doc = np.repeat(np.arange(rows), 12)
+        term = np.minimum(rng.zipf(1.3, len(doc)), 500)
+        term[doc % 5 == 4] = np.repeat(term[doc == 0][None], (np.arange(rows) % 5 == 4).sum(), 0).ravel()  # copies tie
+        shard = _shard(doc, term, rows, rng.permutation(rows))
+        queries = [
+            (q, rng.random(len(q)) + 0.01)
+            for q in (np.unique(rng.integers(1, 520, n)).astype(np.uint64) for n in (1, 3, 30, 400, 0, 5))
+        ]
+        impact = np.zeros((521, rows))
+        impact[np.repeat(shard.terms.astype(int), np.bincount(np.searchsorted(shard.first, np.arange(len(shard.begin)), "right") - 1, shard.end - shard.begin).astype(int)), shard.doc] = shard.impact
+        for (terms, weights), (found, scores, _) in zip(queries, shard.search_all(queries, 10), strict=True):
+            total = np.zeros(rows)
+            for t, w in zip(terms, weights):
+                total += w * impact[int(t)]
+            order = np.lexsort((shard.ids, -total))
+            order = order[total[order] > 0][:10]
+            by = np.lexsort((shard.ids[found], -scores))
+            assert found[by].tolist() == order.tolist() and scores[by].tolist() == total[order].tolist()
+
+
 def test_codec_matches_the_model_and_decodes(texts):
     import sentencepiece
 
