@@ -237,6 +237,27 @@ def test_searches_at_once_are_exact():
             assert found[by].tolist() == order.tolist() and scores[by].tolist() == total[order].tolist()
 
 
+def test_documents_below_a_known_score_are_left_out():
+    rng = np.random.default_rng(5)
+    doc = np.repeat(np.arange(900), 20)
+    shard = _shard(doc, np.minimum(rng.zipf(1.3, len(doc)), 700), 900, rng.permutation(900))
+    queries = [(q, rng.random(len(q)) + 0.01) for q in (np.unique(rng.integers(1, 700, n)).astype(np.uint64) for n in (2, 40, 300))]
+    best = [sorted(zip((-s).tolist(), shard.ids[d].tolist())) for d, s, _ in shard.search_all(queries, 10)]
+    least = np.array([-found[2][0] for found in best])
+    few = [sorted(zip((-s).tolist(), shard.ids[d].tolist())) for d, s, _ in shard.search_all(queries, 10, least)]
+    assert few == [[x for x in found if x[0] <= found[2][0]] for found in best] and all(len(x) >= 3 for x in few)
+    (found, _, searched), *_ = shard.search_all(queries, 10, np.full(3, 1e9))
+    assert not len(found) and searched == 0  # the greatest impacts do not reach it
+
+
+def test_queries_are_sent_in_blocks_of_distinct_terms(spark):
+    rows = [(7, None, 5, 0.5), (7, None, -2, 2.0), (9, 4, 5, 0.5), (8, 2**60 + 1, 6, 1.0)]
+    (block,) = ranked_search._query_blocks(spark.createDataFrame(rows, "query long, query_id long, term long, weight double"), spark)
+    query, ids, known, sizes, place, terms, weight = packed.load(block)
+    assert (query.tolist(), ids.tolist(), known.tolist(), sizes.tolist()) == ([7, 8, 9], [0, 2**60 + 1, 4], [False, True, True], [2, 1, 1])
+    assert terms[place].tolist() == [5, 2**64 - 2, 6, 5] and weight[place].tolist() == [0.5, 2.0, 1.0, 0.5]
+
+
 def test_codec_matches_the_model_and_decodes(texts):
     import sentencepiece
 
